@@ -1 +1,264 @@
-QUERIES = {}
+"""Documents, day folders, seeds, and the whole job."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+from tillwork import session
+from tillwork.operators.reshape import union_relations
+from tillwork.plans import check_suite, ingest, job
+from tillwork.registry import sql as S
+from tillwork.registry.base import Query
+from tillwork.sources import raw_zone, star_schema as star, tables
+from tillwork.sources.star_schema import StarSchema
+
+FIRST, LAST = "1990-01-01", "2010-12-31"
+
+
+def _land_orders(t: StarSchema) -> str:
+    root = session.scratch_path(t.spark, "raw")
+    raw_zone.write_documents(
+        star.order_documents(t), root, raw_zone.ORDERS, raw_zone.ORDERS_DAY)
+    return root
+
+
+def _land_products(t: StarSchema, root: str) -> None:
+    raw_zone.write_documents(
+        star.product_documents(t), root, raw_zone.PRODUCTS, raw_zone.PRODUCTS_DAY)
+
+
+def _read_orders(t: StarSchema) -> DataFrame:
+    return raw_zone.read_orders(t.spark, _land_orders(t), FIRST, LAST, json_lines=True)
+
+
+def json_orders(t: StarSchema) -> DataFrame:
+    return ingest.flatten_orders(_read_orders(t)).drop("_ingested_at")
+
+
+def json_items(t: StarSchema) -> DataFrame:
+    return ingest.explode_items(_read_orders(t)).drop("_ingested_at")
+
+
+def json_items_keep_empty(t: StarSchema) -> DataFrame:
+    kept = ingest.explode_items(_read_orders(t), keep_empty=True)
+    return kept.groupBy("order_id").agg(F.count("line_item_id").alias("lines"))
+
+
+def json_products(t: StarSchema) -> DataFrame:
+    root = session.scratch_path(t.spark, "raw")
+    _land_products(t, root)
+    read = raw_zone.read_products(t.spark, root, FIRST, LAST, json_lines=True)
+    return ingest.flatten_products(read).drop("_ingested_at")
+
+
+def backfill_counts(t: StarSchema) -> DataFrame:
+    """Rows per day folder after all days were loaded twice."""
+    root = _land_orders(t)
+    _land_products(t, root)
+    target = session.scratch_path(t.spark, "ingested")
+    for _ in range(2):
+        ingest.ingest(t.spark, root, target, FIRST, LAST, json_lines=True)
+    counts = {
+        name: t.spark.read.parquet(f"{target}/{name}").groupBy(F.col(day).alias("day"))
+        .agg(F.count("*").alias("n"))
+        for name, day in (("stg_orders", "_ingestion_date"),
+                          ("stg_order_items", "_ingestion_date"),
+                          ("stg_products", "snapshot_date"))
+    }
+    return union_relations(counts, source_column_name="table_name")
+
+
+def audit_counts(t: StarSchema) -> DataFrame:
+    """Rows counted while a table was written beside those found in it afterwards."""
+    path = session.scratch_path(t.spark, "events")
+    events = t.events.withColumn("day", F.col("ts").cast("date"))
+    written = tables.write_days(events, path, "day")
+    read = t.spark.read.parquet(path)
+    return read.agg(F.count("*").alias("found")).withColumn("written", F.lit(written).cast("bigint"))
+
+
+def _job(t: StarSchema) -> tuple[dict[str, DataFrame], DataFrame]:
+    root = _land_orders(t)
+    _land_products(t, root)
+    work = session.scratch_path(t.spark, "job")
+    return job.run(
+        t.spark, root, f"{work}/ingested", f"{work}/target", FIRST, LAST, json_lines=True,
+        source_checks=check_suite.source_checks(
+            channels=["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]),
+        model_checks=check_suite.model_checks(
+            categories=["STANDARD", "PROMO", "ECONOMY", "LARGE", "MEDIUM"]),
+    )
+
+
+def daily_job_revenue(t: StarSchema) -> DataFrame:
+    return _job(t)[0]["mart_weekly_revenue"].select(
+        "year_week", "order_week", "week_start_date", "category", "total_revenue",
+        "units_sold", "total_orders",
+    )
+
+
+def daily_job_report(t: StarSchema) -> DataFrame:
+    return _job(t)[1]
+
+
+def seed_events(t: StarSchema) -> DataFrame:
+    """Events through a CSV file whose empty text comes back as NULL."""
+    path = session.scratch_path(t.spark, "seed")
+    kind = F.when(F.col("event_type") != "error", F.col("event_type")).otherwise("")
+    t.events.select(
+        "event_id", F.col("ts").cast("date").alias("day"), "user_id", kind.alias("event_type"),
+        F.col("value").cast("decimal(12,2)").alias("value"),
+    ).write.option("header", True).option("emptyValue", "").csv(path)
+    return tables.read_seed(
+        t.spark, path,
+        "event_id bigint, day date, user_id bigint, event_type string, value decimal(12,2)",
+    )
+
+
+def quarantine_events(t: StarSchema) -> DataFrame:
+    """Events that break a rule, with the names of the rules."""
+    number = F.try_to_number(F.get_json_object("props", "$.k"), F.lit("99"))
+    typed = t.events.withColumn("k", number.cast("bigint"))
+    _, bad = check_suite.split_bad_rows(typed, {
+        "value_out_of_range": ~F.col("value").between(0, 100),
+        "error_event": F.col("event_type") == "error",
+        "small_k": F.col("k") < 10,
+    })
+    return bad.select("event_id", "k", F.array_join("reasons", ",").alias("reasons"))
+
+
+_LINE_ID = "l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey"
+_SOLD = """cast(l_extendedprice as decimal(12,2))
+  * (cast(1 as decimal(3,2)) - cast(l_discount as decimal(4,2)))"""
+_COST = "cast(l_extendedprice as decimal(12,2)) * cast(0.6 as decimal(2,1))"
+
+JSON_ORDERS_SQL = f"""
+select cast(o_orderkey as varchar) as order_id, {S.moment('o_orderdate')} as order_timestamp,
+  cast(o_orderdate as date) as order_date, o_orderpriority as channel,
+  {S.STATUS} as order_status, cast(c_nationkey as varchar) as shipping_country,
+  cast(o_custkey as varchar) as customer_id,
+  cast(c_nationkey as varchar) as customer_country_code,
+  cast(null as varchar) as customer_country, cast(null as varchar) as customer_city,
+  cast(null as varchar) as customer_age_group, c_mktsegment as customer_gender,
+  {S.TIER} as customer_loyalty_tier, cast(o_orderdate as date) as customer_signup_date,
+  cast(date_trunc('month', o_orderdate) as date) as _ingestion_date
+from orders left join customer on o_custkey = c_custkey
+"""
+
+JSON_ITEMS_SQL = f"""
+select cast(l_orderkey as varchar) as order_id, cast(o_orderdate as date) as order_date,
+  {_LINE_ID} as line_item_id, cast(l_partkey as varchar) as product_id,
+  cast(l_suppkey as varchar) as sku, cast(null as varchar) as product_name,
+  cast(null as varchar) as brand, cast(null as varchar) as category,
+  cast(null as varchar) as subcategory, cast(l_quantity as bigint) as quantity,
+  cast(l_extendedprice as double) as original_price, cast({_SOLD} as double) as sale_price,
+  cast(cast(l_discount as decimal(4,2)) as double) as discount_pct,
+  cast({_COST} as double) as cost_price, 'EUR' as currency,
+  cast({_SOLD} * cast(l_quantity as bigint) as double) as line_total,
+  cast({_COST} * cast(l_quantity as bigint) as double) as line_cost,
+  cast(date_trunc('month', o_orderdate) as date) as _ingestion_date
+from lineitem join orders on l_orderkey = o_orderkey
+"""
+
+JSON_EMPTY_SQL = """
+select cast(o_orderkey as varchar) as order_id,
+  count(distinct l_linenumber || '-' || l_partkey || '-' || l_suppkey) as lines
+from orders left join lineitem on o_orderkey = l_orderkey group by o_orderkey
+"""
+
+JSON_PRODUCTS_SQL = """
+select p_partkey || tag as product_id, p_name as product_name, p_brand as brand,
+  p_type as category, 'size ' || p_size as subcategory,
+  cast(cast(p_retailprice as decimal(12,2)) * share as double) as unit_price,
+  cast(cast(p_retailprice as decimal(12,2)) * cast(0.4 as decimal(2,1)) as double)
+    as cost_price, 'SKU-' || p_partkey as sku, p_size > 10 as is_active, 'EUR' as currency,
+  date '2001-08-01' as snapshot_date
+from part, (values ('', cast(1.0 as decimal(2,1))), ('-mini', cast(0.5 as decimal(2,1))))
+  as sizes(tag, share)
+"""
+
+BACKFILL_SQL = """
+select 'stg_orders' as table_name, cast(date_trunc('month', o_orderdate) as date) as day,
+  count(distinct o_orderkey) as n
+from orders group by 1, 2
+union all
+select 'stg_order_items', cast(date_trunc('month', o_orderdate) as date), count(*)
+from lineitem join orders on l_orderkey = o_orderkey group by 1, 2
+union all
+select 'stg_products', date '2001-08-01', 2 * count(*) from part
+"""
+
+_JOB_SQL = f"""
+with lines as (
+  select {_LINE_ID} as line_item_id, o_orderkey as order_id,
+    cast(o_orderdate as date) as order_date,
+    cast(l_quantity as bigint) as quantity, {_SOLD} * cast(l_quantity as bigint) as line_total,
+    p_type as category
+  from lineitem join orders on l_orderkey = o_orderkey left join part on l_partkey = p_partkey
+  where o_orderstatus = 'F'),
+weekly as (
+  select strftime(order_date, '%Y-W%W') as year_week,
+    cast(strftime(order_date, '%U') as bigint) as order_week,
+    cast(date_trunc('week', order_date) as date) as week_start_date, category,
+    cast(round(sum(line_total), 2) as double) as total_revenue,
+    cast(sum(quantity) as bigint) as units_sold, count(distinct order_id) as total_orders
+  from lines group by 1, 2, 3, 4)
+"""
+
+_PASSED = [
+    ("not_null", "stg_orders", "order_id"), ("not_null", "stg_orders", "order_date"),
+    ("not_null", "stg_orders", "channel"), ("accepted_values", "stg_orders", "channel"),
+    ("accepted_values", "stg_orders", "order_status"),
+    *[("not_null", "stg_order_items", c) for c in (
+        "line_item_id", "order_id", "product_id", "quantity", "sale_price", "line_total")],
+    ("not_null", "stg_products", "product_id"), ("not_null", "stg_products", "snapshot_date"),
+    ("unique", "dim_products", "product_id"), ("not_null", "dim_products", "product_id"),
+    ("not_null", "dim_products", "category"), ("unique", "dim_customers", "customer_id"),
+    ("not_null", "dim_customers", "customer_id"),
+    *[("not_null", "fact_order_items", c) for c in ("line_item_id", "order_id", "line_total")],
+    *[("not_null", "mart_weekly_revenue", c) for c in (
+        "week_start_date", "category", "total_revenue")],
+    ("not_null", "mart_top_products", "product_id"), ("not_null", "mart_top_products", "year_week"),
+    ("unique", "mart_customer_ltv", "customer_id"),
+    ("not_null", "mart_customer_ltv", "customer_id"),
+]
+_PASSED_SQL = ", ".join(f"('{k}_{t}_{c}', '{t}', '{c}')" for k, t, c in _PASSED)
+JOB_REPORT_SQL = f"""
+select check_name, table_name, column_name, cast(0 as bigint) as failures, 'pass' as status
+from (values {_PASSED_SQL}) as passed(check_name, table_name, column_name)
+union all
+select 'accepted_values_dim_products_category', 'dim_products', 'category', n,
+  case when n <> 0 then 'error' else 'pass' end
+from (select count(distinct p_type) as n from part
+  where p_type not in ('STANDARD', 'PROMO', 'ECONOMY', 'LARGE', 'MEDIUM'))
+"""
+
+SEED_SQL = """
+select event_id, cast(ts as date) as day, user_id, nullif(event_type, 'error') as event_type,
+  cast(cast(value as decimal(12,2)) as double) as value
+from events
+"""
+
+QUARANTINE_SQL = """
+with typed as (
+  select *, try_cast(json_extract_string(props, '$.k') as bigint) as k from events)
+select event_id, k, concat_ws(',',
+  case when not (value between 0 and 100) then 'value_out_of_range' end,
+  case when event_type = 'error' then 'error_event' end,
+  case when k < 10 then 'small_k' end) as reasons
+from typed where not (value between 0 and 100) or event_type = 'error' or k < 10
+"""
+
+QUERIES = {
+    "json_orders": Query(json_orders, JSON_ORDERS_SQL),
+    "json_items": Query(json_items, JSON_ITEMS_SQL),
+    "json_items_keep_empty": Query(json_items_keep_empty, JSON_EMPTY_SQL),
+    "json_products": Query(json_products, JSON_PRODUCTS_SQL),
+    "backfill_counts": Query(backfill_counts, BACKFILL_SQL),
+    "audit_counts": Query(
+        audit_counts, "select count(*) as found, count(*) as written from events"),
+    "daily_job_revenue": Query(daily_job_revenue, _JOB_SQL + "select * from weekly"),
+    "daily_job_report": Query(daily_job_report, JOB_REPORT_SQL),
+    "seed_events": Query(seed_events, SEED_SQL),
+    "quarantine_events": Query(quarantine_events, QUARANTINE_SQL),
+}
