@@ -28,18 +28,15 @@ def cut_in_ranges(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return session.materialise(ranged)
 
 
-def _same(left: DataFrame, right: DataFrame, columns: Sequence[str]):
-    condition = left[RANGE] == right[RANGE]
-    for c in columns:
-        condition = condition & left[c].eqNullSafe(right[c])
-    return condition
-
-
 def _carry(ranged: DataFrame, carry: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Add ``_carried``, what the ranges before or after know of a row's group."""
+    carry = carry.toDF("_to", *[f"_to_{c}" for c in group], "_carried")
+    same = F.col(RANGE) == F.col("_to")
+    for c in group:
+        same = same & F.col(c).eqNullSafe(F.col(f"_to_{c}"))
     # Only a group that runs on across a range border has a carried row, and a
     # range has one such group per border: the table is bounded by the number of ranges.
-    joined = ranged.join(F.broadcast(carry), _same(ranged, carry, group), "left")
-    return joined.select(*[ranged[c] for c in ranged.columns], carry["_carried"])
+    return ranged.join(F.broadcast(carry), same, "left").select(*ranged.columns, "_carried")
 
 
 def neighbour(

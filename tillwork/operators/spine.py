@@ -38,9 +38,11 @@ def fill_weeks(
     every = F.sequence(F.lit(span["lo"]), F.lit(span["hi"]), F.expr("interval 7 days"))
     # each key lists its own weeks, so nothing is joined across
     grid = df.select(*keys).distinct().select(*keys, F.explode(every).alias(week))
-    seen = df.select(week, *keys, *measures)
-    same = [grid[c].eqNullSafe(seen[c]) for c in (week, *keys)]
+    seen = df.select(F.col(week).alias("_week"), *[F.col(k).alias(f"_{k}") for k in keys],
+                     *[F.col(m).alias(f"_{m}") for m in measures])
+    same = F.col(week) == F.col("_week")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
     return grid.join(seen, same, "left").select(
-        *[grid[c] for c in (week, *keys)],
-        *[F.coalesce(seen[m], F.lit(0)).alias(m) for m in measures],
+        week, *keys, *[F.coalesce(f"_{m}", F.lit(0)).alias(m) for m in measures]
     )

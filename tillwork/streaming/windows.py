@@ -68,6 +68,7 @@ def read_table_stream(
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    stream = reader.parquet(path)
+    # as a pattern the path may be a folder or, which streams refuse otherwise, a single file
+    stream = reader.parquet(f"{path[:-1]}[{path[-1]}]")
     plain = [f.name for f in schema if f.dataType.typeName() == "timestamp_ntz"]
     return stream.withColumns({c: F.col(c).cast("timestamp") for c in plain})
