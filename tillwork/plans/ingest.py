@@ -102,7 +102,9 @@ def rejected_documents(
 ) -> DataFrame:
     """Order documents that do not fit the schema, as text, for the quarantine."""
     read = raw_zone.read_orders(spark, root, start, end, json_lines, corrupt=True)
-    return read.filter(F.col(schemas.CORRUPT).isNotNull()).select(
+    # a document is only judged by the columns asked for, so all of them are
+    rejected = session.materialise(read.filter(F.col(schemas.CORRUPT).isNotNull()))
+    return rejected.select(
         F.col(raw_zone.ORDERS_DAY).alias("_ingestion_date"), schemas.CORRUPT
     )
 
