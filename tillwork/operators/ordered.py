@@ -3,12 +3,14 @@
 A plain window keeps each group, or without groups the whole table, in one task.
 Here rows are cut into ranges of the sort order, each range is worked on by
 itself, and what one range must know of the ones before or after it is carried
-over in a table of at most one row per range and side.
+over in a table of at most one row per range.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -31,9 +33,8 @@ def cut_in_ranges(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def _carry(ranged: DataFrame, carry: DataFrame, group: Sequence[str]) -> DataFrame:
     """Add ``_carried``, what the ranges before or after know of a row's group."""
     carry = carry.toDF("_to", *[f"_to_{c}" for c in group], "_carried")
-    same = F.col(RANGE) == F.col("_to")
-    for c in group:
-        same = same & F.col(c).eqNullSafe(F.col(f"_to_{c}"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_to_{c}")) for c in group],
+                  F.col(RANGE) == F.col("_to"))
     # Only a group that runs on across a range border has a carried row, and a
     # range has one such group per border: the table is bounded by the number of ranges.
     return ranged.join(F.broadcast(carry), same, "left").select(*ranged.columns, "_carried")
@@ -80,23 +81,38 @@ def neighbour(
 
 
 def position(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
-    """Row number within the group by ascending ``order``; (group, order) must be unique."""
-    ranged = cut_in_ranges(df, [*group, *order])
-    inside = Window.partitionBy(RANGE, *group).orderBy(*order)
-    before = Window.partitionBy(*group).orderBy(RANGE).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    carry = (
-        ranged.groupBy(RANGE, *group)
-        .agg(F.count("*").alias("_n"))
-        .select(RANGE, *group, F.sum("_n").over(before).alias("_carried"))
-        .filter("_carried is not null")
-    )
-    numbered = ranged.withColumn("_inside", F.row_number().over(inside))
-    return _carry(numbered, carry, group).select(
-        *df.columns,
-        (F.col("_inside") + F.coalesce("_carried", F.lit(0))).cast("bigint").alias(name),
+    """Row number within the group by ascending ``order``; (group, order) must be unique.
+
+    Rows are sorted once over the whole table. A row's number in it, less that of
+    its group's first row, is its position, so the rows move only for the sort
+    and, if there are too many groups to broadcast, to meet their group's start.
+    """
+    keys = [*group, *order]
+    count = session.shuffle_partitions(df.sparkSession)
+    # the id holds the number of the range above bit 33 and the row's place in it below
+    placed = (
+        df.repartitionByRange(count, *keys).sortWithinPartitions(*keys)
+        .withColumn("_id", F.monotonically_increasing_id())
     )
+    rows = session.materialise(placed).withColumns({
+        RANGE: F.shiftright("_id", 33), "_place": F.col("_id").bitwiseAND((1 << 33) - 1)})
+    sizes = rows.groupBy(RANGE).agg(F.count("*").alias("_n"))
+    # one row per range, so that a single task may add them up
+    before = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = F.broadcast(sizes.select(
+        RANGE, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+
+    numbered = rows.join(offsets, RANGE).withColumn("_number", F.col("_before") + F.col("_place"))
+    if not group:
+        return numbered.select(*df.columns, (F.col("_number") + 1).alias(name))
+    first = rows.groupBy(*group).agg(F.min("_id").alias("_id")).withColumns({
+        RANGE: F.shiftright("_id", 33), "_place": F.col("_id").bitwiseAND((1 << 33) - 1)})
+    starts = first.join(offsets, RANGE).select(
+        *[F.col(c).alias(f"_of_{c}") for c in group],
+        (F.col("_before") + F.col("_place")).alias("_start"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in group])
+    return numbered.join(starts, same).select(
+        *df.columns, (F.col("_number") - F.col("_start") + 1).alias(name))
 
 
 def repeat_rows(df: DataFrame, times: str, chunk: int = 100_000) -> DataFrame:

@@ -71,9 +71,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to reliable storage, cut its lineage and read it back."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once to the shared folder, cut its lineage and read it back.
+
+    As a Parquet table each later use reads only its columns.
+    """
+    path = scratch_path(df.sparkSession, "kept")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
