@@ -173,21 +173,21 @@ def sequential_values(
     """
     previous = f"previous_{slugify(column)}"
     distinct = df.groupBy(*group_by, column).agg(F.count("*").alias("_n"))
-    linked = neighbour(distinct, list(group_by), [column], previous)
-
-    def broken(value: Column, before: Column) -> Column:
-        if datepart:
-            moved = calendar.add_interval(datepart, interval, before)
-            return value.cast("timestamp") != moved
-        return value != before + F.lit(interval)
-
-    out = [*group_by, column, previous]
-    first_of_equals = linked.filter(broken(F.col(column), F.col(previous))).select(*out)
-    copies = distinct.filter("_n > 1").select(
-        *group_by, column, F.col(column).alias(previous), (F.col("_n") - 1).alias("_n")
-    )
-    bad_copies = copies.filter(broken(F.col(column), F.col(previous)))
-    return first_of_equals.unionByName(repeat_rows(bad_copies, "_n").select(*out))
+    linked = neighbour(distinct, list(group_by), [column], "_before")
+
+    value, before = F.col(column), F.col("_before")
+    if datepart:
+        moved = calendar.add_interval(datepart, interval, before)
+        broken = value.cast("timestamp") != moved
+    else:
+        broken = value != before + F.lit(interval)
+    # one row of a value follows the value before it, its copies follow itself
+    pairs = F.inline(F.array(
+        F.struct(before.alias("_before"), F.lit(1).cast("bigint").alias("_n")),
+        F.struct(value.alias("_before"), (F.col("_n") - 1).alias("_n")),
+    ))
+    bad = linked.select(*group_by, column, pairs).filter(broken & (F.col("_n") > 0))
+    return repeat_rows(bad, "_n").withColumnRenamed("_before", previous)
 
 
 GAPS = ("allowed", "not_allowed", "required")
@@ -218,20 +218,20 @@ def mutually_exclusive_ranges(
     linked = neighbour(
         distinct, group, order, "next_lower_bound", ahead=True, flag="is_last_record"
     )
-    # all copies of a range but the last are followed by their equal
-    last_copy = linked.withColumn("_n", F.lit(1).cast("bigint"))
-    other_copies = distinct.filter("_n > 1").select(
-        *group, *order, (F.col("_n") - 1).alias("_n"),
-        F.col("lower_bound").alias("next_lower_bound"), F.lit(False).alias("is_last_record"),
-    )
+    # the last copy of a range is followed by the next range, the others by their equal
+    pairs = F.inline(F.array(
+        F.struct(F.col("next_lower_bound"), F.col("is_last_record"),
+                 F.lit(1).cast("bigint").alias("_n")),
+        F.struct(F.col("lower_bound").alias("next_lower_bound"),
+                 F.lit(False).alias("is_last_record"), (F.col("_n") - 1).alias("_n")),
+    ))
+    links = linked.select(*group, *order, pairs).filter("_n > 0")
     lo, hi, following = F.col("lower_bound"), F.col("upper_bound"), F.col("next_lower_bound")
     is_range = lo <= hi if zero_length_range_allowed else lo < hi
     follows = {"allowed": hi <= following, "not_allowed": hi == following,
                "required": hi < following}[gaps]
     sound = F.coalesce(is_range, F.lit(False)) & F.coalesce(follows, F.col("is_last_record"))
-    single = last_copy.filter(~sound).drop("_n")
-    repeated = repeat_rows(other_copies.filter(~sound), "_n")
-    return single.unionByName(repeated)
+    return repeat_rows(links.filter(~sound), "_n")
 
 
 # ---- two-table rules

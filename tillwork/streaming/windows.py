@@ -12,14 +12,22 @@ from tillwork.streaming.landing import BATCH, append_batch, run_batches
 
 
 def drop_redelivered(
-    stream: DataFrame, keys: Sequence[str], moment: str, delay: str = "7 days"
+    stream: DataFrame, keys: Sequence[str], moment: str, delay: str = "7 days", salts: int = 16
 ) -> DataFrame:
     """Rows whose keys did not arrive before, as long as copies come within ``delay``.
 
     The first arrival stays, whereas staging keeps the last: this is a preview of
-    what staging settles.
+    what staging settles. Copies of one key are first thinned out in ``salts``
+    places, by the input they come from, so a key that makes up much of the stream
+    is not sent to one task whole; ``salts=1`` saves that step and its state.
     """
-    return stream.withWatermark(moment, delay).dropDuplicatesWithinWatermark(list(keys))
+    marked = stream.withWatermark(moment, delay)
+    if salts > 1:
+        marked = (
+            marked.withColumn("_salt", F.spark_partition_id() % salts)
+            .dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
+        )
+    return marked.dropDuplicatesWithinWatermark(list(keys))
 
 
 def weekly_windows(
