@@ -132,6 +132,14 @@ _SOLD = """cast(l_extendedprice as decimal(12,2))
   * (cast(1 as decimal(3,2)) - cast(l_discount as decimal(4,2)))"""
 _COST = "cast(l_extendedprice as decimal(12,2)) * cast(0.6 as decimal(2,1))"
 
+# lines as they are left of a delivery, one per line id
+DELIVERED = f"""
+delivered as (
+  select * from lineitem join orders on l_orderkey = o_orderkey
+  qualify row_number() over (
+    partition by {_LINE_ID}, date_trunc('month', o_orderdate)
+    order by o_orderdate, l_quantity, {_SOLD}) = 1)"""
+
 JSON_ORDERS_SQL = f"""
 select cast(o_orderkey as varchar) as order_id, {S.moment('o_orderdate')} as order_timestamp,
   cast(o_orderdate as date) as order_date, o_orderpriority as channel,
@@ -146,6 +154,7 @@ from orders left join customer on o_custkey = c_custkey
 """
 
 JSON_ITEMS_SQL = f"""
+with {DELIVERED}
 select cast(l_orderkey as varchar) as order_id, cast(o_orderdate as date) as order_date,
   {_LINE_ID} as line_item_id, cast(l_partkey as varchar) as product_id,
   cast(l_suppkey as varchar) as sku, cast(null as varchar) as product_name,
@@ -157,7 +166,7 @@ select cast(l_orderkey as varchar) as order_id, cast(o_orderdate as date) as ord
   cast({_SOLD} * cast(l_quantity as bigint) as double) as line_total,
   cast({_COST} * cast(l_quantity as bigint) as double) as line_cost,
   cast(date_trunc('month', o_orderdate) as date) as _ingestion_date
-from lineitem join orders on l_orderkey = o_orderkey
+from delivered
 """
 
 JSON_EMPTY_SQL = """
@@ -177,24 +186,26 @@ from part, (values ('', cast(1.0 as decimal(2,1))), ('-mini', cast(0.5 as decima
   as sizes(tag, share)
 """
 
-BACKFILL_SQL = """
+BACKFILL_SQL = f"""
+with {DELIVERED}
 select 'stg_orders' as table_name, cast(date_trunc('month', o_orderdate) as date) as day,
   count(distinct o_orderkey) as n
 from orders group by 1, 2
 union all
 select 'stg_order_items', cast(date_trunc('month', o_orderdate) as date), count(*)
-from lineitem join orders on l_orderkey = o_orderkey group by 1, 2
+from delivered group by 1, 2
 union all
 select 'stg_products', date '2001-08-01', 2 * count(*) from part
 """
 
 _JOB_SQL = f"""
-with lines as (
+with {DELIVERED},
+lines as (
   select {_LINE_ID} as line_item_id, o_orderkey as order_id,
     cast(o_orderdate as date) as order_date,
     cast(l_quantity as bigint) as quantity, {_SOLD} * cast(l_quantity as bigint) as line_total,
     p_type as category
-  from lineitem join orders on l_orderkey = o_orderkey left join part on l_partkey = p_partkey
+  from delivered left join part on l_partkey = p_partkey
   where o_orderstatus = 'F'),
 weekly as (
   select strftime(order_date, '%Y-W%W') as year_week,
