@@ -242,8 +242,8 @@ def relationships_where(
 ) -> DataFrame:
     """Keys without a parent row, once per child row. NULL keys are skipped.
 
-    Child rows are counted by key first, so a key with very many rows is one row
-    in the join.
+    Rows are brought together by key first, so a key with very many rows on either
+    side is one row in the join.
     """
     child = df.filter(from_condition) if from_condition else df
     parent = to.filter(to_condition) if to_condition else to
@@ -252,6 +252,7 @@ def relationships_where(
         .groupBy(F.col(column).alias("id")).agg(F.count("*").alias("_n"))
     )
     known = parent.filter(F.col(field).isNotNull()).select(F.col(field).alias("id"))
+    known = known.distinct()
     return repeat_rows(counted.join(known, "id", "left_anti"), "_n")
 
 

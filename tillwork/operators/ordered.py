@@ -1,9 +1,9 @@
 """Neighbours and positions in ordered groups of any size.
 
 A plain window keeps each group, or without groups the whole table, in one task.
-Here rows are cut into ranges of the sort order, each range is worked on by
-itself, and what one range must know of the ones before or after it is carried
-over in a table of at most one row per range.
+Here the whole table is sorted, which cuts it into ranges of even size wherever
+the groups end. Each range is worked on by itself, and what it must know of the
+others is held in tables of one row per range.
 """
 
 from __future__ import annotations
@@ -12,32 +12,38 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwork import session
 
-RANGE = "_range"
+RANGE, PLACE, ID = "_range", "_place", "_id"
+_SHIFT = 33  # the lower bits of an id number the rows of a range
 
 
-def cut_in_ranges(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows with the number of their range in the ascending order of ``keys``.
+def _range_of(row_id: str) -> Column:
+    return F.shiftright(row_id, _SHIFT)
 
-    The ranges are written out, because every later use must see the same cut.
-    Rows equal in all ``keys`` share a range, so the keys should be unique.
+
+def _place_of(row_id: str) -> Column:
+    return F.col(row_id).bitwiseAND((1 << _SHIFT) - 1)
+
+
+def _sorted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """All rows in ascending order of ``keys``, with a growing id.
+
+    Written out, because each use must see the same ranges. Rows equal in all
+    ``keys`` share a range, so the keys should be unique.
     """
     count = session.shuffle_partitions(df.sparkSession)
-    ranged = df.repartitionByRange(count, *keys).withColumn(RANGE, F.spark_partition_id())
-    return session.materialise(ranged)
+    placed = (
+        df.repartitionByRange(count, *keys).sortWithinPartitions(*keys)
+        .withColumn(ID, F.monotonically_increasing_id())
+    )
+    return session.materialise(placed)
 
 
-def _carry(ranged: DataFrame, carry: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Add ``_carried``, what the ranges before or after know of a row's group."""
-    carry = carry.toDF("_to", *[f"_to_{c}" for c in group], "_carried")
-    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_to_{c}")) for c in group],
-                  F.col(RANGE) == F.col("_to"))
-    # Only a group that runs on across a range border has a carried row, and a
-    # range has one such group per border: the table is bounded by the number of ranges.
-    return ranged.join(F.broadcast(carry), same, "left").select(*ranged.columns, "_carried")
+def _same(columns: Sequence[str], prefix: str) -> list[Column]:
+    return [F.col(c).eqNullSafe(F.col(prefix + c)) for c in columns]
 
 
 def neighbour(
@@ -53,27 +59,25 @@ def neighbour(
     (group, order) must be unique. ``flag`` names a column that is true where
     there is no such row, which a NULL neighbour does not tell.
     """
-    ranged = cut_in_ranges(df, [*group, *order])
-    inside = Window.partitionBy(RANGE, *group).orderBy(*order)
-    across = Window.partitionBy(*group).orderBy(RANGE)
-    value = F.col(order[0])
-    cell = F.struct(value.alias("v"))
-
-    # NULL sorts first: a range with a NULL starts with it and ends with one only if all are NULL
-    if ahead:
-        edge = F.when(F.count("*") == F.count(value), F.min(value))
-        move = F.lead
-    else:
-        edge = F.max(value)
-        move = F.lag
-    edges = ranged.groupBy(RANGE, *group).agg(edge.alias("v"))
+    rows = _sorted(df, [*group, *order]).withColumn(RANGE, _range_of(ID))
+    inside = Window.partitionBy(RANGE, *group).orderBy(ID)
+    pick, move = (F.min, F.lead) if ahead else (F.max, F.lag)
+    cell = F.struct(F.col(order[0]).alias("v"))
+    within = rows.withColumn("_inside", move(cell).over(inside))
+
+    # the row next to a range is the last one of the range before it, or the first one of
+    # the range after it; one row per range, so that a single task may line them up
+    outer = rows.groupBy(RANGE).agg(pick(ID).alias(ID)).select(ID)
+    edges = rows.join(F.broadcast(outer), ID).select(
+        RANGE, *group, F.struct(F.col(order[0]).alias("v")).alias("_carried"))
+    line = Window.orderBy(RANGE)
     carry = edges.select(
-        RANGE, *group, move(F.struct("v")).over(across).alias("_carried")
-    ).filter("_carried is not null")
-
-    found = _carry(ranged.withColumn("_inside", move(cell).over(inside)), carry, group).withColumn(
-        "_found", F.coalesce("_inside", "_carried")
+        F.col(RANGE).alias("_to"), *[move(c).over(line).alias(f"_to_{c}") for c in group],
+        move("_carried").over(line).alias("_carried"),
     )
+    meet = reduce(and_, _same(group, "_to_"), F.col(RANGE) == F.col("_to"))
+    found = within.join(F.broadcast(carry), meet, "left").withColumn(
+        "_found", F.coalesce("_inside", "_carried"))
     out = [*df.columns, F.col("_found.v").alias(name)]
     if flag:
         out.append(F.col("_found").isNull().alias(flag))
@@ -83,35 +87,26 @@ def neighbour(
 def position(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """Row number within the group by ascending ``order``; (group, order) must be unique.
 
-    Rows are sorted once over the whole table. A row's number in it, less that of
-    its group's first row, is its position, so the rows move only for the sort
-    and, if there are too many groups to broadcast, to meet their group's start.
+    A row's number in the sorted table, less that of its group's first row, is its
+    position: rows move only for the sort and, if there are too many groups to
+    broadcast, to meet their group's start.
     """
-    keys = [*group, *order]
-    count = session.shuffle_partitions(df.sparkSession)
-    # the id holds the number of the range above bit 33 and the row's place in it below
-    placed = (
-        df.repartitionByRange(count, *keys).sortWithinPartitions(*keys)
-        .withColumn("_id", F.monotonically_increasing_id())
-    )
-    rows = session.materialise(placed).withColumns({
-        RANGE: F.shiftright("_id", 33), "_place": F.col("_id").bitwiseAND((1 << 33) - 1)})
+    rows = _sorted(df, [*group, *order]).withColumns({RANGE: _range_of(ID), PLACE: _place_of(ID)})
     sizes = rows.groupBy(RANGE).agg(F.count("*").alias("_n"))
     # one row per range, so that a single task may add them up
     before = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = F.broadcast(sizes.select(
         RANGE, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
 
-    numbered = rows.join(offsets, RANGE).withColumn("_number", F.col("_before") + F.col("_place"))
+    numbered = rows.join(offsets, RANGE).withColumn("_number", F.col("_before") + F.col(PLACE))
     if not group:
         return numbered.select(*df.columns, (F.col("_number") + 1).alias(name))
-    first = rows.groupBy(*group).agg(F.min("_id").alias("_id")).withColumns({
-        RANGE: F.shiftright("_id", 33), "_place": F.col("_id").bitwiseAND((1 << 33) - 1)})
+    first = rows.groupBy(*group).agg(F.min(ID).alias(ID)).withColumns(
+        {RANGE: _range_of(ID), PLACE: _place_of(ID)})
     starts = first.join(offsets, RANGE).select(
         *[F.col(c).alias(f"_of_{c}") for c in group],
-        (F.col("_before") + F.col("_place")).alias("_start"))
-    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in group])
-    return numbered.join(starts, same).select(
+        (F.col("_before") + F.col(PLACE)).alias("_start"))
+    return numbered.join(starts, reduce(and_, _same(group, "_of_"))).select(
         *df.columns, (F.col("_number") - F.col("_start") + 1).alias(name))
 
 

@@ -33,7 +33,8 @@ def stg_order_items(raw: DataFrame, calendar: str = "split") -> DataFrame:
     one does not come back.
     """
     newest = newest_delivery(
-        raw, ["line_item_id", "order_date"], "_ingested_at", "product_id", "sku"
+        raw, ["line_item_id", "order_date"], "_ingested_at", "product_id", "sku", "quantity",
+        "sale_price",
     ).filter("line_item_id is not null and sale_price > 0 and quantity > 0")
     day = F.col("order_date").cast("date")
     amounts = [money(F.col(c)).alias(c) for c in ("original_price", "sale_price")]

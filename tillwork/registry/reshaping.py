@@ -22,12 +22,13 @@ def _days(t: StarSchema) -> DataFrame:
 
 def dedup_items(t: StarSchema) -> DataFrame:
     lines = t.lineitem.withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
+    rest = [c for c in lines.columns if c not in ("l_orderkey", "l_linenumber", "l_shipdate")]
     return deduplicate(lines, ["l_orderkey", "l_linenumber"],
-                       [F.desc("l_shipdate"), F.asc("l_partkey"), F.asc("l_suppkey")])
+                       [F.desc("l_shipdate"), *[F.asc(c) for c in rest]])
 
 
 def first_events(t: StarSchema) -> DataFrame:
-    return first_by(t.events, ["user_id", "event_type"], [F.col("ts"), F.col("event_id")],
+    return first_by(t.events, ["user_id", "event_type"], [F.col("ts"), F.col("event_id"), F.col("value")],
                     ["event_id", "value"])
 
 
@@ -155,7 +156,7 @@ def series_without_orders(t: StarSchema) -> DataFrame:
     highest = profile.single_value(t.customer.agg(F.max("c_custkey")))
     series = spine.generate_series(t.spark, highest)
     ordered = t.orders.filter("o_orderstatus = 'F'").select(
-        F.col("o_custkey").alias("generated_number"))
+        F.col("o_custkey").alias("generated_number")).distinct()
     return series.join(ordered, "generated_number", "left_anti")
 
 
@@ -280,12 +281,14 @@ from lineitem join orders on l_orderkey = o_orderkey group by 1, 2, 3
 
 QUERIES = {
     "dedup_items": Query(dedup_items, """
-select * exclude (l_shipdate), cast(l_shipdate as date) as l_shipdate
+select l_orderkey, l_partkey, l_suppkey, cast(l_linenumber as bigint) as l_linenumber,
+  l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
+  cast(l_shipdate as date) as l_shipdate
 from lineitem qualify row_number() over (
-  partition by l_orderkey, l_linenumber order by l_shipdate desc, l_partkey, l_suppkey) = 1
-""".replace("* exclude (l_shipdate)", """l_orderkey, l_partkey, l_suppkey,
-  cast(l_linenumber as bigint) as l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
-  l_returnflag, l_linestatus""")),
+  partition by l_orderkey, l_linenumber
+  order by cast(l_shipdate as date) desc, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+    l_discount, l_tax, l_returnflag, l_linestatus) = 1
+"""),
     "dedup_by_expression": Query(dedup_by_expression, """
 select o_orderkey, o_custkey, o_totalprice from orders qualify row_number() over (
   partition by o_custkey, extract(year from o_orderdate)
@@ -293,7 +296,7 @@ select o_orderkey, o_custkey, o_totalprice from orders qualify row_number() over
 """),
     "first_events": Query(first_events, """
 select user_id, event_type, event_id, value from events qualify row_number() over (
-  partition by user_id, event_type order by ts, event_id) = 1
+  partition by user_id, event_type order by ts, event_id, value) = 1
 """),
     "union_sources": Query(union_sources, """
 select 'customer' as _source_relation, c_custkey as id, c_name as name,

@@ -44,7 +44,8 @@ raw_items as (
   from lineitem join orders on l_orderkey = o_orderkey),
 newest_items as (
   select * from raw_items qualify row_number() over (
-    partition by line_item_id, order_date order by ingested_at desc, product_id, sku) = 1),
+    partition by line_item_id, order_date order by ingested_at desc, product_id, sku,
+      quantity, sale_price) = 1),
 items as (
   select *, sale_price as line_total, cost_price as line_cost,
     round(sale_price - cost_price, 2) as gross_profit, coalesce(discount_pct > 0, false)
@@ -55,10 +56,13 @@ sales as (
     {STATUS} as order_status, o_custkey as customer_id, {TIER} as customer_loyalty_tier,
     upper(n_name) as shipping_country
   from orders left join customer on o_custkey = c_custkey
-    left join nation on c_nationkey = n_nationkey),
+    left join nation on c_nationkey = n_nationkey
+  qualify row_number() over (partition by o_orderkey, cast(o_orderdate as date)
+    order by o_orderdate desc, order_status, channel, customer_id) = 1),
 dim as (
   select p_partkey as product_id, p_name as product_name, p_brand as brand,
-    p_type as category, 'size ' || p_size as subcategory from part),
+    p_type as category, 'size ' || p_size as subcategory from part
+  qualify row_number() over (partition by p_partkey) = 1),
 lines as (
   select i.*, customer_id, channel, order_status, shipping_country, customer_loyalty_tier,
     cast(date_trunc('week', order_date) as date) as week_start_date

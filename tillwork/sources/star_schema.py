@@ -159,7 +159,11 @@ def order_documents(star: StarSchema) -> DataFrame:
     """
     buyers = star.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
     orders = star.orders.join(buyers, F.col("o_custkey") == F.col("c_custkey"), "left")
-    lines = orders.join(star.lineitem, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    same = F.col("o_orderkey") == F.col("l_orderkey")
+    # either side of an inner join may be split if one order has very many lines
+    lines = star.lineitem.join(orders, same)
+    empty = orders.join(star.lineitem.select("l_orderkey").distinct(), same, "left_anti")
+    lines = lines.unionByName(empty, allowMissingColumns=True)
 
     def text(c: str) -> Column:
         return F.col(c).cast("string")
