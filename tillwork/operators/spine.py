@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tillwork import session
 from tillwork.functions import calendar
 
 
@@ -31,10 +32,12 @@ def fill_weeks(
     """Rows for every week from the first to the last and every combination of ``keys`` seen.
 
     ``week`` holds Mondays, one row per (week, keys). Added rows have 0 in ``measures``.
+    The input is used three times and so written out first.
     """
+    df = session.materialise(df.select(week, *keys, *measures))
     span = df.agg(F.min(week).alias("lo"), F.max(week).alias("hi")).first()
     if span["lo"] is None:
-        return df.select(week, *keys, *measures)
+        return df
     every = F.sequence(F.lit(span["lo"]), F.lit(span["hi"]), F.expr("interval 7 days"))
     # each key lists its own weeks, so nothing is joined across
     grid = df.select(*keys).distinct().select(*keys, F.explode(every).alias(week))

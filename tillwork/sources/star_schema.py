@@ -79,9 +79,14 @@ def raw_orders(star: StarSchema, customers: bool = True) -> DataFrame:
 def redelivered_orders(star: StarSchema) -> DataFrame:
     """Every order twice: as open when it was placed, then in its final state a day later."""
     final = raw_orders(star)
-    first = final.withColumn("order_status", F.lit("open"))
-    second = final.withColumn("_ingested_at", F.timestamp_add("DAY", F.lit(1), "_ingested_at"))
-    return first.unionByName(second)
+    placed = F.col("_ingested_at")
+    deliveries = F.inline(F.array(
+        F.struct(F.lit("open").alias("order_status"), placed.alias("_ingested_at")),
+        F.struct(F.col("order_status"),
+                 F.timestamp_add("DAY", F.lit(1), placed).alias("_ingested_at")),
+    ))
+    kept = [c for c in final.columns if c not in ("order_status", "_ingested_at")]
+    return final.select(*kept, deliveries)
 
 
 def _line_amounts() -> dict[str, Column]:
