@@ -181,6 +181,13 @@ def test_job_from_documents_to_marts(spark, raw, tmp_path, rows):
     assert float(margin["unit_margin"]) == 15.5 and margin["margin_pct"] == 77.5
 
 
+def test_job_from_the_command_line(spark, raw, tmp_path, capsys):
+    job.main(["--raw", raw, "--ingested", str(tmp_path / "in"), "--target", str(tmp_path / "out"),
+              "--date", "2026-01-03", "--end", "2026-01-04"])
+    assert "accepted_values_stg_orders_channel" in capsys.readouterr().out
+    assert spark.read.parquet(str(tmp_path / "out" / "mart_weekly_revenue")).count() == 4
+
+
 def test_dim_customers_history(spark, raw):
     read = raw_zone.read_orders(spark, raw, "2026-01-03", "2026-01-04")
     orders = staging.stg_orders(ingest.flatten_orders(read))
