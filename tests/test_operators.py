@@ -5,9 +5,9 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
-from tillwork.operators import profile, reshape, spine
+from tillwork.operators import ordered, profile, reshape, spine
 from tillwork.operators.dedup import deduplicate, first_by
-from tillwork.operators.ordered import neighbour, position, repeat_rows
+from tillwork.operators.ordered import neighbour, positions, repeat_rows
 from tillwork.sources.tables import read_seed
 
 
@@ -41,9 +41,15 @@ def _ordered(spark, n, keys, seed):
     return spark.createDataFrame(sorted(data, key=str), "g int, v int")
 
 
+@pytest.fixture(params=["ranges", "window"])
+def way(request, monkeypatch):
+    """Both ways to work off groups."""
+    monkeypatch.setattr(ordered, "GROUP_LIMIT", 0 if request.param == "ranges" else 10**6)
+
+
 @pytest.mark.parametrize("keys", [[1], [1, 2, 3], [None, 1], list(range(50))])
 @pytest.mark.parametrize("ahead", [False, True])
-def test_neighbour_equals_window(spark, rows, keys, ahead):
+def test_neighbour_equals_window(spark, rows, way, keys, ahead):
     df = _ordered(spark, 400, keys, len(keys))
     w = Window.partitionBy("g").orderBy("v")
     move = F.lead if ahead else F.lag
@@ -59,10 +65,25 @@ def test_neighbour_without_groups(spark, rows):
 
 
 @pytest.mark.parametrize("keys", [[1], [1, 1, 1, 2, None], list(range(60))])
-def test_position_equals_row_number(spark, rows, keys):
-    df = _ordered(spark, 400, keys, 11)
-    number = F.row_number().over(Window.partitionBy("g").orderBy("v")).cast("bigint")
-    assert rows(position(df, ["g"], ["v"], "n")) == rows(df.select("*", number.alias("n")))
+def test_positions_equal_row_number(spark, rows, way, keys):
+    df = _ordered(spark, 400, keys, 11).withColumn("less", -F.col("v"))
+    expected = df.select("*", *[
+        F.row_number().over(Window.partitionBy("g").orderBy(c)).cast("bigint").alias(n)
+        for n, c in (("up", "v"), ("down", "less"))])
+    assert rows(positions(df, ["g"], {"up": ["v"], "down": ["less"]})) == rows(expected)
+
+
+def test_positions_without_groups(spark, rows):
+    df = _ordered(spark, 300, [7], 3).select("v")
+    expected = df.select("v", F.row_number().over(Window.orderBy("v")).cast("bigint").alias("n"))
+    assert rows(positions(df, [], {"n": ["v"]})) == rows(expected)
+
+
+def test_ordered_operators_on_no_rows(spark, way):
+    df = _ordered(spark, 5, [1], 1).limit(0)
+    assert neighbour(df, ["g"], ["v"], "x").count() == 0
+    assert positions(df, ["g"], {"n": ["v"]}).count() == 0
+    assert neighbour(df, [], ["v"], "x").count() == 0
 
 
 def test_repeat_rows_over_chunk_borders(spark):

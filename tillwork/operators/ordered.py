@@ -1,14 +1,15 @@
 """Neighbours and positions in ordered groups of any size.
 
 A plain window keeps each group, or without groups the whole table, in one task.
-Here the whole table is sorted, which cuts it into ranges of even size wherever
-the groups end. Each range is worked on by itself, and what it must know of the
-others is held in tables of one row per range.
+That is used as long as the largest group is known to be small. Otherwise the
+whole table is sorted, which cuts it into ranges of even size wherever the groups
+end. Each range is worked on by itself, and what it must know of the others is
+held in tables of one row per range.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -16,6 +17,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwork import session
 
+# rows of one group that a single task may sort
+GROUP_LIMIT = 2_000_000
+
 RANGE, PLACE, ID = "_range", "_place", "_id"
 _SHIFT = 33  # the lower bits of an id number the rows of a range
 
@@ -46,6 +50,14 @@ def _same(columns: Sequence[str], prefix: str) -> list[Column]:
     return [F.col(c).eqNullSafe(F.col(prefix + c)) for c in columns]
 
 
+def _groups_fit(rows: DataFrame, group: Sequence[str]) -> bool:
+    """Whether the largest group, counted in full, may be left to one task."""
+    if not group:
+        return False
+    counted = rows.groupBy(*group).agg(F.count("*").alias("_n"))
+    return (counted.agg(F.max("_n").alias("n")).first()["n"] or 0) <= GROUP_LIMIT
+
+
 def neighbour(
     df: DataFrame,
     group: Sequence[str],
@@ -59,37 +71,68 @@ def neighbour(
     (group, order) must be unique. ``flag`` names a column that is true where
     there is no such row, which a NULL neighbour does not tell.
     """
+    kept = session.materialise(df)
+    move = F.lead if ahead else F.lag
+    cell = F.struct(F.col(order[0]).alias("v"))
+    if _groups_fit(kept, group):
+        window = Window.partitionBy(*group).orderBy(*order)
+        found = kept.withColumn("_found", move(cell).over(window))
+    else:
+        found = _neighbour_across_ranges(kept, group, order, move, cell)
+    out = [*df.columns, F.col("_found.v").alias(name)]
+    if flag:
+        out.append(F.col("_found").isNull().alias(flag))
+    return found.select(*out)
+
+
+def _neighbour_across_ranges(
+    df: DataFrame, group: Sequence[str], order: Sequence[str],
+    move: Callable[[Column], Column], cell: Column,
+) -> DataFrame:
     rows = _sorted(df, [*group, *order]).withColumn(RANGE, _range_of(ID))
     inside = Window.partitionBy(RANGE, *group).orderBy(ID)
-    pick, move = (F.min, F.lead) if ahead else (F.max, F.lag)
-    cell = F.struct(F.col(order[0]).alias("v"))
     within = rows.withColumn("_inside", move(cell).over(inside))
 
     # the row next to a range is the last one of the range before it, or the first one of
     # the range after it; one row per range, so that a single task may line them up
+    pick = F.min if move is F.lead else F.max
     outer = rows.groupBy(RANGE).agg(pick(ID).alias(ID)).select(ID)
-    edges = rows.join(F.broadcast(outer), ID).select(
-        RANGE, *group, F.struct(F.col(order[0]).alias("v")).alias("_carried"))
+    edges = rows.join(F.broadcast(outer), ID).select(RANGE, *group, cell.alias("_carried"))
     line = Window.orderBy(RANGE)
     carry = edges.select(
         F.col(RANGE).alias("_to"), *[move(c).over(line).alias(f"_to_{c}") for c in group],
         move("_carried").over(line).alias("_carried"),
     )
     meet = reduce(and_, _same(group, "_to_"), F.col(RANGE) == F.col("_to"))
-    found = within.join(F.broadcast(carry), meet, "left").withColumn(
+    return within.join(F.broadcast(carry), meet, "left").withColumn(
         "_found", F.coalesce("_inside", "_carried"))
-    out = [*df.columns, F.col("_found.v").alias(name)]
-    if flag:
-        out.append(F.col("_found").isNull().alias(flag))
-    return found.select(*out)
 
 
-def position(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
-    """Row number within the group by ascending ``order``; (group, order) must be unique.
+def positions(
+    df: DataFrame, group: Sequence[str], orders: Mapping[str, Sequence[str]]
+) -> DataFrame:
+    """Row numbers within the group, one column per ascending order in ``orders``.
+
+    (group, order) must be unique.
+    """
+    rows = session.materialise(df)
+    if _groups_fit(rows, group):
+        return rows.withColumns({
+            name: F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("bigint")
+            for name, order in orders.items()
+        })
+    for name, order in orders.items():
+        rows = _position_across_ranges(rows, group, order, name)
+    return rows
+
+
+def _position_across_ranges(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], name: str
+) -> DataFrame:
+    """A row's number in the sorted table, less that of its group's first row.
 
-    A row's number in the sorted table, less that of its group's first row, is its
-    position: rows move only for the sort and, if there are too many groups to
-    broadcast, to meet their group's start.
+    Rows move only for the sort and, if there are too many groups to broadcast,
+    to meet their group's start.
     """
     rows = _sorted(df, [*group, *order]).withColumns({RANGE: _range_of(ID), PLACE: _place_of(ID)})
     sizes = rows.groupBy(RANGE).agg(F.count("*").alias("_n"))

@@ -48,9 +48,9 @@ def read_products(
 
 
 def write_documents(documents: DataFrame, root: str, kind: str, day: str) -> None:
-    """Documents as JSON Lines in day folders; a heavy day gets several files."""
+    """Documents as zipped JSON Lines in day folders; a heavy day gets several files."""
     (
         documents.hint("rebalance", day)
-        .write.partitionBy(day).mode("append").option("ignoreNullFields", "false")
+        .write.partitionBy(day).mode("append").option("compression", "gzip")
         .json(f"{root.rstrip('/')}/{kind}")
     )
