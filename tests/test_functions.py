@@ -51,7 +51,8 @@ def test_calendar_rejects_unknown_names():
 @pytest.mark.parametrize("part, start, end, n", [
     ("month", "2020-01-31", "2020-02-01", 1), ("day", "2018-01-01", "2018-01-10", 9),
     ("year", "2019-12-31", "2020-01-01", 1), ("hour", "2020-01-01 00:59:00", "2020-01-01 02:01:00", 2),
-    ("week", "2020-01-05", "2020-01-06", 1), ("day", "2020-01-02", "2020-01-01", -1),
+    ("week", "2020-01-04", "2020-01-05", 1), ("week", "2020-01-05", "2020-01-11", 0),
+    ("isoweek", "2020-01-05", "2020-01-06", 1), ("isoweek", "2020-01-06", "2020-01-12", 0), ("day", "2020-01-02", "2020-01-01", -1),
 ])
 def test_intervals_count_boundaries(spark, part, start, end, n):
     assert calendar.count_intervals(spark, part, start, end) == n

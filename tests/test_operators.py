@@ -172,6 +172,9 @@ def test_pivot_options(shirts, rows):
     cells = reshape.pivot("color", ["b%"], agg="max", cmp="like", prefix="p_", suffix="_s",
                           then_value="yes", else_value="no")
     assert rows(shirts.groupBy("size").agg(*cells)) == [("M", "no"), ("S", "yes")]
+    sizes = shirts.selectExpr("size", "cast(length(color) as int) as n")
+    small = reshape.pivot("n", [3, 10], cmp="<=", agg="count", else_value=None, prefix="to_")
+    assert rows(sizes.agg(*small)) == [(2, 4)]
     bare = reshape.pivot("color", ["red"], alias=False)
     assert "red" in str(bare[0]) and shirts.agg(*bare).first()[0] == 2
     with pytest.raises(ValueError):

@@ -167,6 +167,9 @@ def test_job_from_documents_to_marts(spark, raw, tmp_path, rows):
         "rank_by_units", "product_id", "order_week", "rank_by_revenue"))
     assert top == [(1, "P1", 1, 1), (2, "P1", 0, 2), (3, "P2", 0, 3), (4, "P9", 1, 4)]
 
+    listed = marts.in_order(models["mart_top_products"]).select("rank_by_units").collect()
+    assert [r[0] for r in listed] == [1, 2, 3, 4]
+
     buyers = {r["customer_id"]: r for r in models["dim_customers"].collect()}
     assert buyers["C1"]["loyalty_tier"] == "gold" and buyers["C1"]["total_orders"] == 2
     assert buyers["C2"]["loyalty_tier"] == "basic" and buyers["C2"]["total_orders"] == 1

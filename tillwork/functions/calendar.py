@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, SparkSession, functions as F
 
-DATEPARTS = ("second", "minute", "hour", "day", "week", "month", "quarter", "year")
+DATEPARTS = ("second", "minute", "hour", "day", "week", "isoweek", "month", "quarter", "year")
 
 
 def sunday_week(day: Column) -> Column:
@@ -69,17 +69,22 @@ def add_interval(datepart: str, amount: Column | int, start: Column) -> Column:
     """``start`` moved by ``amount`` units, as a timestamp."""
     part = check_datepart(datepart)
     count = F.lit(amount) if isinstance(amount, int) else amount
-    return F.timestamp_add(part.upper(), count, start.cast("timestamp"))
+    unit = "WEEK" if part == "isoweek" else part.upper()
+    return F.timestamp_add(unit, count, start.cast("timestamp"))
 
 
 def intervals_between(datepart: str, start: Column, end: Column) -> Column:
     """Unit boundaries crossed from ``start`` to ``end``: 31 January to 1 February is one month.
 
-    Weeks start on Monday here.
+    A ``week`` starts on Sunday, an ``isoweek`` on Monday.
     """
     part = check_datepart(datepart)
-    floor = [F.date_trunc(part, c.cast("timestamp")) for c in (start, end)]
-    return F.timestamp_diff(part.upper(), floor[0], floor[1]).cast("bigint")
+    moments = [c.cast("timestamp") for c in (start, end)]
+    if part == "week":  # a Sunday becomes the Monday Spark cuts weeks at
+        moments = [F.timestamp_add("DAY", F.lit(1), c) for c in moments]
+    unit = "week" if part == "isoweek" else part
+    floor = [F.date_trunc(unit, c) for c in moments]
+    return F.timestamp_diff(unit.upper(), floor[0], floor[1]).cast("bigint")
 
 
 def count_intervals(spark: SparkSession, datepart: str, start: str, end: str) -> int:

@@ -183,8 +183,9 @@ def pivot(
 ) -> list[Column]:
     """One conditional aggregate per value, for use in ``agg``.
 
-    Values are compared as text. A group without a value gets the aggregate over
-    ``else_value``, not NULL. Columns are passed as ``then_value`` to sum them.
+    Values are given as text literals, which take on the type of the column they are
+    compared with. A group without a value gets the aggregate over ``else_value``,
+    not NULL. Pass a column as ``then_value`` to sum it.
     """
     if cmp not in _COMPARE:
         raise ValueError(f"cmp must be one of {sorted(_COMPARE)}, got {cmp!r}")
@@ -202,7 +203,7 @@ def pivot(
     out = []
     for value in values:
         pattern = str(value) if "like" in cmp else F.lit(str(value))
-        hit = _COMPARE[cmp](cell.cast("string"), pattern)
+        hit = _COMPARE[cmp](cell, pattern)
         folded = fold(F.when(hit, branch(then_value)).otherwise(branch(else_value)))
         if alias:
             name = f"{prefix}{value}{suffix}"
@@ -226,7 +227,8 @@ def unpivot(
     The table is read once.
     """
     kept, gone = _lower(exclude), _lower(remove)
-    ids = [c for c in df.columns if c.lower() in kept]
+    named = {c.lower(): c for c in df.columns}
+    ids = [named[c.lower()] for c in exclude]
     melted = [c for c in df.columns if c.lower() not in kept | gone]
     flags = {f.name for f in df.schema if isinstance(f.dataType, T.BooleanType)}
     cells = [(_cell(c).cast("string") if c in flags else _cell(c)).cast(cast_to).alias(c)

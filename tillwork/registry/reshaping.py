@@ -189,9 +189,9 @@ def shipping_delay(t: StarSchema) -> DataFrame:
     """Lines by month and week boundaries crossed between order and shipment."""
     moved = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(*[
         calendar.intervals_between(part, F.col("o_orderdate"), F.col("l_shipdate")).alias(part)
-        for part in ("week", "month", "year")
+        for part in ("week", "isoweek", "month", "year")
     ])
-    return moved.groupBy("week", "month", "year").agg(F.count("*").alias("n"))
+    return moved.groupBy("week", "isoweek", "month", "year").agg(F.count("*").alias("n"))
 
 
 def weekly_revenue_filled(t: StarSchema) -> DataFrame:
@@ -273,10 +273,12 @@ from grid left join counted using (week, user_id, event_type)
 """
 
 DELAY_SQL = """
-select date_diff('week', date_trunc('week', o_orderdate), date_trunc('week', l_shipdate)) as week,
+select date_diff('week', date_trunc('week', o_orderdate + interval 1 day),
+    date_trunc('week', l_shipdate + interval 1 day)) as week,
+  date_diff('week', date_trunc('week', o_orderdate), date_trunc('week', l_shipdate)) as isoweek,
   date_diff('month', o_orderdate, l_shipdate) as month,
   date_diff('year', o_orderdate, l_shipdate) as year, count(*) as n
-from lineitem join orders on l_orderkey = o_orderkey group by 1, 2, 3
+from lineitem join orders on l_orderkey = o_orderkey group by 1, 2, 3, 4
 """
 
 QUERIES = {
