@@ -293,15 +293,18 @@ def test_column_values(spark):
     assert counts == {**dict.fromkeys("abcdef", 1), "g": 5}
 
 
-def test_single_value_and_dict(spark):
+def test_single_value_and_dict(spark, monkeypatch):
     df = spark.createDataFrame([(1, "a", True), (2, "b", False), (3, "c", None)],
                                "col_1 int, col_2 string, col_3 boolean")
     assert profile.single_value(df.orderBy("col_1")) == 1
     assert profile.single_value(df.filter("col_1 > 9"), default="none") == "none"
     assert profile.as_dict(df.orderBy("col_1")) == {
         "col_1": [1, 2, 3], "col_2": ["a", "b", "c"], "col_3": [True, False, None]}
-    with pytest.raises(ValueError):
-        profile.as_dict(df, max_records=2)
+    monkeypatch.setattr(profile, "FETCH_LIMIT", 2)
+    assert profile.column_values(df, "col_1", max_records=2) == [1, 2]
+    for too_much in (lambda: profile.as_dict(df), lambda: profile.column_values(df, "col_1")):
+        with pytest.raises(ValueError):
+            too_much()
 
 
 def test_seed_reads_declared_types_and_empty_as_null(spark, rows, tmp_path):

@@ -6,7 +6,15 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-DEFAULT_CAP = 10_000
+# what the driver takes in; a larger result is an error and never cut short
+FETCH_LIMIT = 10_000
+
+
+def _fetch(query: DataFrame) -> list:
+    rows = query.limit(FETCH_LIMIT + 1).collect()
+    if len(rows) > FETCH_LIMIT:
+        raise ValueError(f"result has more than {FETCH_LIMIT} rows")
+    return rows
 
 
 def value_counts(df: DataFrame, column: str, where: str | None = None) -> DataFrame:
@@ -15,24 +23,28 @@ def value_counts(df: DataFrame, column: str, where: str | None = None) -> DataFr
     return rows.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
 
 
+def _ranked_values(
+    df: DataFrame, column: str, where: str | None, order_by: list[Column] | None
+) -> DataFrame:
+    return value_counts(df, column, where).orderBy(*(order_by or [F.desc("n"), F.asc("value")]))
+
+
 def top_values(
     df: DataFrame, column: str, limit: int, where: str | None = None,
     order_by: list[Column] | None = None,
 ) -> DataFrame:
     """The ``limit`` most frequent values; equal counts go by value."""
-    order = order_by or [F.desc("n"), F.asc("value")]
-    return value_counts(df, column, where).orderBy(*order).limit(limit)
+    return _ranked_values(df, column, where, order_by).limit(limit)
 
 
 def column_values(
     table: DataFrame | str, column: str, spark: SparkSession | None = None,
-    order_by: list[Column] | None = None, max_records: int = DEFAULT_CAP,
+    order_by: list[Column] | None = None, max_records: int | None = None,
     default: list | None = None, where: str | None = None,
 ) -> list:
     """Distinct values, most frequent first, for instance as input for ``pivot``.
 
     A missing table gives ``default`` or an error, an empty one ``default``.
-    More than ``max_records`` values are never fetched.
     """
     if isinstance(table, str):
         spark = spark or SparkSession.active()
@@ -41,7 +53,8 @@ def column_values(
                 raise LookupError(f"table {table} does not exist and no default was given")
             return default
         table = spark.table(table)
-    rows = top_values(table, column, max_records, where, order_by).collect()
+    values = _ranked_values(table, column, where, order_by)
+    rows = _fetch(values if max_records is None else values.limit(max_records))
     return [r["value"] for r in rows] or (default if default is not None else [])
 
 
@@ -51,9 +64,7 @@ def single_value(query: DataFrame, default: Any = None) -> Any:
     return row[0][0] if row else default
 
 
-def as_dict(query: DataFrame, max_records: int = DEFAULT_CAP) -> dict[str, list]:
-    """Column name to list of values. A larger result than ``max_records`` is an error."""
-    rows = query.limit(max_records + 1).collect()
-    if len(rows) > max_records:
-        raise ValueError(f"result has more than {max_records} rows")
+def as_dict(query: DataFrame) -> dict[str, list]:
+    """Column name to list of values."""
+    rows = _fetch(query)
     return {c: [r[i] for r in rows] for i, c in enumerate(query.columns)}

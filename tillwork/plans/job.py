@@ -62,8 +62,8 @@ def run(
     ingest.ingest(spark, raw_root, ingested, start, end, json_lines)
     models = build_models(spark, ingested, target)
     sources = {
-        name: spark.read.parquet(f"{ingested.rstrip('/')}/{name}")
-        for name in ("stg_orders", "stg_order_items", "stg_products")
+        s.name: spark.read.parquet(f"{ingested.rstrip('/')}/{s.name}")
+        for s in check_suite.sources()
     }
     wanted = [
         *(check_suite.source_checks() if source_checks is None else source_checks),

@@ -87,7 +87,7 @@ def union_files(t: StarSchema) -> DataFrame:
 
 def pivot_status(t: StarSchema) -> DataFrame:
     """Orders per priority and status. The statuses are read off the table first."""
-    statuses = profile.column_values(t.orders, "o_orderstatus", max_records=100)
+    statuses = profile.column_values(t.orders, "o_orderstatus")
     return t.orders.groupBy("o_orderpriority").agg(
         *reshape.pivot("o_orderstatus", statuses, prefix="n_"),
         *reshape.pivot("o_orderstatus", statuses, prefix="total ", slug_names=True,
@@ -225,8 +225,7 @@ def orders_of_last_day(t: StarSchema) -> DataFrame:
 
 def events_at_maximum(t: StarSchema) -> DataFrame:
     """Events with the highest value of their type, looked up from a small result."""
-    highest = profile.as_dict(
-        t.events.groupBy("event_type").agg(F.max("value").alias("top")), max_records=1000)
+    highest = profile.as_dict(t.events.groupBy("event_type").agg(F.max("value").alias("top")))
     hit = F.lit(False)
     for kind, top in zip(highest["event_type"], highest["top"]):
         hit = hit | ((F.col("event_type") == kind) & (F.col("value") == top))
