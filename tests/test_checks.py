@@ -272,6 +272,14 @@ def test_suite_reads_a_table_once_for_all_row_checks(spark, tmp_path):
     assert plan.count("FileScan") == 1
 
 
+def test_suite_looks_for_a_single_value_with_a_limit(spark, tmp_path):
+    path = str(tmp_path / "t")
+    make(spark, "id int, v int", (1, None), (2, 3)).write.parquet(path)
+    report = run_checks({"t": spark.read.parquet(path)}, [Check("at_least_one", "t", "v")])
+    assert "Limit 1" in report._jdf.queryExecution().executedPlan().toString()
+    assert report.first()["status"] == "pass"
+
+
 def test_split_bad_rows(spark, rows):
     df = make(spark, "id int, v int", (1, 5), (2, None), (None, None))
     good, bad = split_bad_rows(df, {"no_v": C.null_rule("v"), "no_id": C.null_rule("id")})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwork.functions import arithmetic as A, calendar, geo, web
-from tillwork.functions.keys import surrogate_key
+from tillwork.functions.keys import NULL_TOKEN, surrogate_key
 from tillwork.plans import staging
 from tillwork.registry import sql as S
 from tillwork.registry.base import Query
@@ -128,7 +128,7 @@ def _key_sql(null: str) -> str:
 
 
 KEYS_SQL = f"""
-select o_orderkey, {_key_sql('_dbt_utils_surrogate_key_null_')} as order_version_key,
+select o_orderkey, {_key_sql(NULL_TOKEN)} as order_version_key,
   {_key_sql('')} as blank_key
 from orders
 """
