@@ -279,7 +279,7 @@ def predict_texts(texts: list[str | None], model: Model) -> tuple[list[str], np.
     probable = marginals(_emissions(words, model), words.of, model)
     n = np.bincount(words.of, minlength=len(texts))
     mean = np.stack([np.bincount(words.of, probable[:, j], len(texts)) for j in range(k)], axis=1)
-    mean /= np.maximum(1, n)[:, None]
+    mean = mean / np.maximum(1, n)[:, None]
     best = mean.argmax(axis=1)
     score = np.where(n > 0, np.clip(mean.max(axis=1), 0, 1), 0.0)
     return [model.languages[b] if c else UNKNOWN for b, c in zip(best, n)], score, mean

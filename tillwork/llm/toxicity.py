@@ -38,7 +38,7 @@ MIN_TELLING = 4.0
 PREFIXES = (3, 4, 5, 6)
 SUFFIXES = (3, 4, 5)
 #: Expected severity from which on a document counts as toxic.
-REJECT_FROM = 0.4
+REJECT_FROM = 0.2
 _SIEVE_BITS = 20
 
 
@@ -117,15 +117,15 @@ def telling_features(sample: DataFrame, limit: int = FEATURES) -> tuple[np.ndarr
 
 
 def fit(text: np.ndarray, number: np.ndarray, value: np.ndarray, grades: np.ndarray,
-        features: np.ndarray, rounds: int = 400, rate: float = 0.05, decay: float = 1e-3) -> Model:
-    """Fit weights and thresholds by gradient steps; every grade weighs the same in sum."""
+        features: np.ndarray, importance: np.ndarray | None = None, rounds: int = 400,
+        rate: float = 0.05, decay: float = 1e-3) -> Model:
+    """Fit weights and thresholds by gradient steps on the weighted log-likelihood."""
     n, top = len(grades), int(grades.max(initial=0))
     weights = np.zeros(max(1, len(features)))
     if top == 0:
         return Model(features, weights, np.empty(0))
-    share = np.bincount(grades, minlength=top + 1)
-    importance = (n / (np.maximum(share, 1) * (share > 0).sum()))[grades]
-    below = np.cumsum(share)[:-1] / n
+    importance = np.ones(n) if importance is None else importance / importance.mean()
+    below = np.cumsum(np.bincount(grades, importance, top + 1))[:-1] / n
     start = np.log(np.clip(below, 1e-3, 1 - 1e-3) / np.clip(1 - below, 1e-3, 1))
     # thresholds are a first one and positive steps, so their order cannot be lost
     free = np.concatenate([start[:1], np.log(np.maximum(np.diff(start), 0.05))])
@@ -195,7 +195,11 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     amount = np.bincount(text, np.where(telling[number] > 0, count, 0), len(rows))
     middle = np.median(amount[toxic == 1])
     grades = np.where(toxic == 1, 1 + (amount > middle), 0)
-    return fit(text, number, np.log1p(count), grades, features)
+    # documents stand for as many labelled ones as were left out of the sample
+    seen = {bool(r.t): r.n for r in labels.groupBy((F.col("toxic") > 0).alias("t")).agg(
+        F.count_distinct("doc_id").alias("n")).filter("t is not null").collect()}
+    importance = np.where(toxic == 1, seen[True] / max(1, toxic.sum()), seen[False] / max(1, (1 - toxic).sum()))
+    return fit(text, number, np.log1p(count), grades, features, importance)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
