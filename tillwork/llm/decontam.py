@@ -112,7 +112,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
         .filter(F.size("at") >= need) \
         .groupBy("doc_id").agg(F.collect_list(F.struct("size", F.sort_array("at").alias("at"))).alias("marks"))
     places = session.materialise(places)
-    suspects = session.materialise(shingled.join(_bounded(places, places.count()), "doc_id"))
+    few = _bounded(places, places.count())
+    texts = docs.select("doc_id", "text").join(few.select("doc_id"), "doc_id", "left_semi")
+    suspects = session.materialise(_shingled(texts, "doc_id").join(few, "doc_id"))
 
     full = lambda r: F.get("at", r + need - 1) < F.get("at", r) + F.col("size")
     clamp = lambda r: F.greatest(F.lit(0), F.least(F.get("at", r), F.col("n") - F.col("size")))
