@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -26,10 +27,10 @@ _ODD = re.compile("[\x1c-\x1f]")
 class Encoder:
     """``ids(text)`` gives the ids as little-endian bytes, ``width`` bytes each.
 
-    ``keep`` bounds the pieces a worker remembers; beyond it the memory starts anew.
+    ``keep`` bounds the pieces a worker remembers; beyond it the later half is forgotten.
     """
 
-    def __init__(self, name: str, keep: int = 800_000):
+    def __init__(self, name: str, keep: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -67,10 +68,15 @@ class Encoder:
         try:
             return b"".join([known[p] for p in pieces]) + tail
         except KeyError:
-            known.update(self._encode(list({p for p in pieces if p not in known})))
+            missing = {p for p in pieces if p not in known}
+            # a full stop or comma that ends a word is a token of its own
+            marked = {p for p in missing if p[-1] in ".," and p[-2:-1].isalpha()}
+            known.update(self._encode(list(
+                (missing - marked) | {x for p in marked for x in (p[:-1], p[-1]) if x not in known})))
+            known.update((p, known[p[:-1]] + known[p[-1]]) for p in marked)
             joined = b"".join([known[p] for p in pieces]) + tail
-            if len(known) > self.keep:
-                known.clear()
+            if len(known) > self.keep:  # what came first is what comes often
+                self.known = dict(islice(known.items(), self.keep // 2))
             return joined
 
 
