@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -36,6 +37,7 @@ def main() -> None:
         "bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus,
         spark__ui__enabled="false", spark__driver__memory="16g",
         spark__ui__showConsoleProgress="false",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="bench-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries = all_queries()

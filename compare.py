@@ -10,6 +10,7 @@ import glob
 import math
 import os
 import sys
+import tempfile
 import time
 
 TYPES = {"BIGINT": "bigint", "VARCHAR": "string", "DOUBLE": "double", "DATE": "date",
@@ -73,6 +74,7 @@ def main() -> int:
     spark = session.build(
         "compare", "local[8]", spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false", spark__driver__memory="8g",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="compare-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     db = open_duckdb(args.dir)

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,7 +13,7 @@ from tillwork import session  # noqa: E402
 def spark():
     made = session.build(
         "tests", "local[4]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
-        spark__driver__memory="4g",
+        spark__driver__memory="4g", spark__checkpoint__dir=tempfile.mkdtemp(prefix="tests-"),
     )
     made.sparkContext.setLogLevel("ERROR")
     yield made

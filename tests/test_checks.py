@@ -31,6 +31,10 @@ def test_accepted_range(spark):
     assert C.accepted_range(df.filter("id <> -1"), "id", 0).count() == 0
     assert C.accepted_range(df, "id", max_value=10).count() == 1
     assert C.accepted_range(df, "id").count() == 0
+    pairs = df.sparkSession.createDataFrame([(1, 2), (3, 2), (2, 2), (None, 1)], "a int, b int")
+    assert C.accepted_range(pairs, "a", max_value="b").count() == 1
+    assert C.accepted_range(pairs, "a", max_value=F.col("b"), inclusive=False).count() == 2
+    assert C.accepted_range(pairs, "a", min_value="b - 1").count() == 0
 
 
 def test_at_least_one(spark, rows):

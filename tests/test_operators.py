@@ -5,7 +5,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
-from tillwork.operators import ordered, profile, reshape, spine
+from tillwork.operators import profile, reshape, spine
 from tillwork.operators.dedup import deduplicate, first_by
 from tillwork.operators.ordered import neighbour, positions, repeat_rows
 from tillwork.sources.tables import read_seed
@@ -41,15 +41,9 @@ def _ordered(spark, n, keys, seed):
     return spark.createDataFrame(sorted(data, key=str), "g int, v int")
 
 
-@pytest.fixture(params=["ranges", "window"])
-def way(request, monkeypatch):
-    """Both ways to work off groups."""
-    monkeypatch.setattr(ordered, "GROUP_LIMIT", 0 if request.param == "ranges" else 10**6)
-
-
 @pytest.mark.parametrize("keys", [[1], [1, 2, 3], [None, 1], list(range(50))])
 @pytest.mark.parametrize("ahead", [False, True])
-def test_neighbour_equals_window(spark, rows, way, keys, ahead):
+def test_neighbour_equals_window(spark, rows, keys, ahead):
     df = _ordered(spark, 400, keys, len(keys))
     w = Window.partitionBy("g").orderBy("v")
     move = F.lead if ahead else F.lag
@@ -65,7 +59,7 @@ def test_neighbour_without_groups(spark, rows):
 
 
 @pytest.mark.parametrize("keys", [[1], [1, 1, 1, 2, None], list(range(60))])
-def test_positions_equal_row_number(spark, rows, way, keys):
+def test_positions_equal_row_number(spark, rows, keys):
     df = _ordered(spark, 400, keys, 11).withColumn("less", -F.col("v"))
     expected = df.select("*", *[
         F.row_number().over(Window.partitionBy("g").orderBy(c)).cast("bigint").alias(n)
@@ -162,7 +156,7 @@ def test_pivot(shirts, rows):
 
 
 def test_pivot_slugs_and_apostrophes(shirts, rows):
-    values = profile.column_values(shirts, "color")
+    values = profile.column_values(shirts, "color", max_records=10)
     wide = shirts.groupBy("size").agg(*reshape.pivot("color", values, slug_names=True))
     assert sorted(wide.columns) == ["blue", "blues", "red", "size"]
     assert rows(wide.select("size", "red", "blue", "blues")) == [("M", 1, 0, 0), ("S", 1, 1, 1)]
@@ -283,28 +277,26 @@ def test_fill_weeks(spark, rows):
 def test_column_values(spark):
     data = [(c,) for c in "abcdef"] + [("g",)] * 5
     df = spark.createDataFrame(data, "field string")
-    assert profile.column_values(df, "field") == ["g", "a", "b", "c", "d", "e", "f"]
+    assert profile.column_values(df, "field", max_records=100) == ["g", "a", "b", "c", "d", "e", "f"]
     assert profile.column_values(df, "field", max_records=2) == ["g", "a"]
-    assert profile.column_values(df, "field", where="field > 'x'", default=["none"]) == ["none"]
-    assert profile.column_values("missing_table", "field", spark, default=[]) == []
+    assert profile.column_values(df, "field", 9, where="field > 'x'", default=["none"]) == ["none"]
+    assert profile.column_values("missing_table", "field", 9, spark, default=[]) == []
     with pytest.raises(LookupError):
-        profile.column_values("missing_table", "field", spark)
+        profile.column_values("missing_table", "field", 9, spark)
     counts = {r["value"]: r["n"] for r in profile.value_counts(df, "field").collect()}
     assert counts == {**dict.fromkeys("abcdef", 1), "g": 5}
 
 
-def test_single_value_and_dict(spark, monkeypatch):
+def test_single_value_and_dict(spark):
     df = spark.createDataFrame([(1, "a", True), (2, "b", False), (3, "c", None)],
                                "col_1 int, col_2 string, col_3 boolean")
     assert profile.single_value(df.orderBy("col_1")) == 1
     assert profile.single_value(df.filter("col_1 > 9"), default="none") == "none"
-    assert profile.as_dict(df.orderBy("col_1")) == {
+    assert profile.as_dict(df.orderBy("col_1"), 3) == {
         "col_1": [1, 2, 3], "col_2": ["a", "b", "c"], "col_3": [True, False, None]}
-    monkeypatch.setattr(profile, "FETCH_LIMIT", 2)
     assert profile.column_values(df, "col_1", max_records=2) == [1, 2]
-    for too_much in (lambda: profile.as_dict(df), lambda: profile.column_values(df, "col_1")):
-        with pytest.raises(ValueError):
-            too_much()
+    with pytest.raises(ValueError):
+        profile.as_dict(df, 2)
 
 
 def test_seed_reads_declared_types_and_empty_as_null(spark, rows, tmp_path):

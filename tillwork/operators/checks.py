@@ -25,12 +25,14 @@ def null_rule(column: str) -> Column:
 def range_rule(
     column: str, min_value: Any = None, max_value: Any = None, inclusive: bool = True
 ) -> Column:
-    """Outside the bounds. NULL is not outside."""
+    """Outside the bounds, which are values, Columns, or SQL expressions as text. NULL is not outside."""
     cell, bad = F.col(column), F.lit(False)
     if min_value is not None:
-        bad = bad | ((cell < F.lit(min_value)) if inclusive else (cell <= F.lit(min_value)))
+        low = F.expr(min_value) if isinstance(min_value, str) else F.lit(min_value)
+        bad = bad | ((cell < low) if inclusive else (cell <= low))
     if max_value is not None:
-        bad = bad | ((cell > F.lit(max_value)) if inclusive else (cell >= F.lit(max_value)))
+        high = F.expr(max_value) if isinstance(max_value, str) else F.lit(max_value)
+        bad = bad | ((cell > high) if inclusive else (cell >= high))
     return bad
 
 

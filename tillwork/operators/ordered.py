@@ -1,9 +1,8 @@
 """Neighbours and positions in ordered groups of any size.
 
-A plain window keeps each group, or without groups the whole table, in one task.
-That is used as long as the largest group is known to be small. Otherwise the
-whole table is sorted, which cuts it into ranges of even size wherever the groups
-end. Each range is worked on by itself, and what it must know of the others is
+A plain window would keep each group, or without groups the whole table, in one
+task. Here the whole table is sorted, which cuts it into ranges of even size
+wherever the groups end. Each range is worked on by itself, and what it must know of the others is
 held in tables of one row per range.
 """
 
@@ -17,9 +16,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwork import session
 
-# rows of one group that a single task may sort
-GROUP_LIMIT = 2_000_000
-
 RANGE, PLACE, ID = "_range", "_place", "_id"
 _SHIFT = 33  # the lower bits of an id number the rows of a range
 
@@ -50,14 +46,6 @@ def _same(columns: Sequence[str], prefix: str) -> list[Column]:
     return [F.col(c).eqNullSafe(F.col(prefix + c)) for c in columns]
 
 
-def _groups_fit(rows: DataFrame, group: Sequence[str]) -> bool:
-    """Whether the largest group, counted in full, may be left to one task."""
-    if not group:
-        return False
-    counted = rows.groupBy(*group).agg(F.count("*").alias("_n"))
-    return (counted.agg(F.max("_n").alias("n")).first()["n"] or 0) <= GROUP_LIMIT
-
-
 def neighbour(
     df: DataFrame,
     group: Sequence[str],
@@ -71,14 +59,9 @@ def neighbour(
     (group, order) must be unique. ``flag`` names a column that is true where
     there is no such row, which a NULL neighbour does not tell.
     """
-    kept = session.materialise(df)
     move = F.lead if ahead else F.lag
     cell = F.struct(F.col(order[0]).alias("v"))
-    if _groups_fit(kept, group):
-        window = Window.partitionBy(*group).orderBy(*order)
-        found = kept.withColumn("_found", move(cell).over(window))
-    else:
-        found = _neighbour_across_ranges(kept, group, order, move, cell)
+    found = _neighbour_across_ranges(df, group, order, move, cell)
     out = [*df.columns, F.col("_found.v").alias(name)]
     if flag:
         out.append(F.col("_found").isNull().alias(flag))
@@ -115,12 +98,7 @@ def positions(
 
     (group, order) must be unique.
     """
-    rows = session.materialise(df)
-    if _groups_fit(rows, group):
-        return rows.withColumns({
-            name: F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("bigint")
-            for name, order in orders.items()
-        })
+    rows = df
     for name, order in orders.items():
         rows = _position_across_ranges(rows, group, order, name)
     return rows

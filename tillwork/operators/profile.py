@@ -1,4 +1,4 @@
-"""Values read off a table to steer another query. Only bounded results reach the driver."""
+"""Values read off a table to steer another query. What reaches the driver is bounded by the caller."""
 
 from __future__ import annotations
 
@@ -6,26 +6,16 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# what the driver takes in; a larger result is an error and never cut short
-FETCH_LIMIT = 10_000
-
-
-def _fetch(query: DataFrame) -> list:
-    rows = query.limit(FETCH_LIMIT + 1).collect()
-    if len(rows) > FETCH_LIMIT:
-        raise ValueError(f"result has more than {FETCH_LIMIT} rows")
-    return rows
-
-
 def value_counts(df: DataFrame, column: str, where: str | None = None) -> DataFrame:
     """How often each value occurs, as ``value`` and ``n``."""
     rows = df.filter(where) if where else df
     return rows.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
 
 
-def _ranked_values(
-    df: DataFrame, column: str, where: str | None, order_by: list[Column] | None
+def ranked_values(
+    df: DataFrame, column: str, where: str | None = None, order_by: list[Column] | None = None
 ) -> DataFrame:
+    """All values with their counts, most frequent first, equal counts by value."""
     return value_counts(df, column, where).orderBy(*(order_by or [F.desc("n"), F.asc("value")]))
 
 
@@ -34,16 +24,17 @@ def top_values(
     order_by: list[Column] | None = None,
 ) -> DataFrame:
     """The ``limit`` most frequent values; equal counts go by value."""
-    return _ranked_values(df, column, where, order_by).limit(limit)
+    return ranked_values(df, column, where, order_by).limit(limit)
 
 
 def column_values(
-    table: DataFrame | str, column: str, spark: SparkSession | None = None,
-    order_by: list[Column] | None = None, max_records: int | None = None,
+    table: DataFrame | str, column: str, max_records: int, spark: SparkSession | None = None,
+    order_by: list[Column] | None = None,
     default: list | None = None, where: str | None = None,
 ) -> list:
-    """Distinct values, most frequent first, for instance as input for ``pivot``.
+    """The ``max_records`` most frequent values as a list, for instance as input for ``pivot``.
 
+    ``ranked_values`` has all of them, however many, as a table.
     A missing table gives ``default`` or an error, an empty one ``default``.
     """
     if isinstance(table, str):
@@ -53,8 +44,7 @@ def column_values(
                 raise LookupError(f"table {table} does not exist and no default was given")
             return default
         table = spark.table(table)
-    values = _ranked_values(table, column, where, order_by)
-    rows = _fetch(values if max_records is None else values.limit(max_records))
+    rows = top_values(table, column, max_records, where, order_by).collect()
     return [r["value"] for r in rows] or (default if default is not None else [])
 
 
@@ -64,7 +54,9 @@ def single_value(query: DataFrame, default: Any = None) -> Any:
     return row[0][0] if row else default
 
 
-def as_dict(query: DataFrame) -> dict[str, list]:
-    """Column name to list of values."""
-    rows = _fetch(query)
+def as_dict(query: DataFrame, max_rows: int) -> dict[str, list]:
+    """Column name to list of values; a result of more than ``max_rows`` is an error, never cut short."""
+    rows = query.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"result has more than {max_rows} rows")
     return {c: [r[i] for r in rows] for i, c in enumerate(query.columns)}

@@ -27,20 +27,33 @@ def date_spine(spark: SparkSession, datepart: str, start: str, end: str) -> Data
 
 
 def fill_weeks(
-    df: DataFrame, week: str, keys: Sequence[str], measures: Sequence[str]
+    df: DataFrame, week: str, keys: Sequence[str], measures: Sequence[str],
+    own_span: bool = False,
 ) -> DataFrame:
     """Rows for every week from the first to the last and every combination of ``keys`` seen.
 
+    With ``own_span`` each combination is filled between its own first and last week,
+    which many combinations need: the result then follows the time each was seen.
     ``week`` holds Mondays, one row per (week, keys). Added rows have 0 in ``measures``.
-    The input is used three times and so written out first.
+    The input is used several times and so written out first.
     """
     df = session.materialise(df.select(week, *keys, *measures))
+    if own_span:
+        spans = df.groupBy(*keys).agg(F.min(week).alias("_lo"), F.max(week).alias("_hi"))
+        weeks = F.sequence("_lo", "_hi", F.expr("interval 7 days"))
+        return _filled(spans.select(*keys, F.explode(weeks).alias(week)), df, week, keys, measures)
     span = df.agg(F.min(week).alias("lo"), F.max(week).alias("hi")).first()
     if span["lo"] is None:
         return df
     every = F.sequence(F.lit(span["lo"]), F.lit(span["hi"]), F.expr("interval 7 days"))
     # each key lists its own weeks, so nothing is joined across
     grid = df.select(*keys).distinct().select(*keys, F.explode(every).alias(week))
+    return _filled(grid, df, week, keys, measures)
+
+
+def _filled(
+    grid: DataFrame, df: DataFrame, week: str, keys: Sequence[str], measures: Sequence[str]
+) -> DataFrame:
     seen = df.select(F.col(week).alias("_week"), *[F.col(k).alias(f"_{k}") for k in keys],
                      *[F.col(m).alias(f"_{m}") for m in measures])
     same = F.col(week) == F.col("_week")

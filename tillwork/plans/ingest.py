@@ -98,7 +98,8 @@ def flatten_products(
 
 
 def rejected_documents(
-    spark: SparkSession, root: str, start: str, end: str | None = None, json_lines: bool = False
+    spark: SparkSession, root: str, start: str | None = None, end: str | None = None,
+    json_lines: bool = False,
 ) -> DataFrame:
     """Order documents that do not fit the schema, as text, for the quarantine."""
     read = raw_zone.read_orders(spark, root, start, end, json_lines, corrupt=True)
@@ -110,12 +111,12 @@ def rejected_documents(
 
 
 def ingest(
-    spark: SparkSession, root: str, target: str, start: str, end: str | None = None,
-    json_lines: bool = False, append: bool = False,
+    spark: SparkSession, root: str, target: str, start: str | None = None,
+    end: str | None = None, json_lines: bool = False, append: bool = False,
 ) -> dict[str, int]:
-    """Load the days ``start`` to ``end`` into the three staging tables below ``target``.
+    """Load the days ``start`` to ``end`` (without ``start`` all days) into the staging tables below ``target``.
 
-    One job covers the whole range. A day that is loaded again replaces itself:
+    The session's settings become those of ``session.tune``. One job covers the whole range. A day that is loaded again replaces itself:
     folders go by the day of the delivery, not by ``order_date``, since a file may
     hold a stray row of another day. Returns the number of rows per table.
     """

@@ -49,7 +49,7 @@ def build_models(
 
 
 def run(
-    spark: SparkSession, raw_root: str, ingested: str, target: str, start: str,
+    spark: SparkSession, raw_root: str, ingested: str, target: str, start: str | None = None,
     end: str | None = None, json_lines: bool = False,
     source_checks: Sequence[check_suite.Check] | None = None,
     model_checks: Sequence[check_suite.Check] | None = None,
@@ -86,7 +86,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = session.build("daily-job")
     _, report = run(spark, args.raw, args.ingested, args.target, args.date, args.end,
                     args.json_lines)
-    report.orderBy("check_name").show(1000, truncate=False)
+    for row in report.orderBy("check_name").toLocalIterator():
+        print(*row, sep="\t")
 
 
 if __name__ == "__main__":

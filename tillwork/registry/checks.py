@@ -62,6 +62,21 @@ def check_accepted_range(t: StarSchema) -> DataFrame:
     return C.accepted_range(_lines(t), "l_quantity", 2, 49).select(*LINE)
 
 
+def check_accepted_range_columns(t: StarSchema) -> DataFrame:
+    """Lines shipped more than sixty days after the order."""
+    lines = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return C.accepted_range(lines, "l_shipdate", "o_orderdate", "o_orderdate + interval 60 days") \
+        .select("l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"), "l_partkey")
+
+
+def check_column_set(t: StarSchema) -> DataFrame:
+    """Names that only the table or only the expected list has, one row per order they are missing from."""
+    found = C.column_set_difference(t.orders, ["O_ORDERKEY", "o_custkey", "o_comment"])
+    return t.orders.groupBy("o_orderstatus").agg(F.count("*").alias("n")).select(
+        "o_orderstatus", "n", F.lit(",".join(found["missing"])).alias("missing"),
+        F.lit(",".join(found["unexpected"])).alias("unexpected"))
+
+
 def check_accepted_range_exclusive(t: StarSchema) -> DataFrame:
     return C.accepted_range(_lines(t), "discount", 0.01, inclusive=False).select(*LINE)
 
@@ -83,7 +98,7 @@ def check_at_least_one(t: StarSchema) -> DataFrame:
 
 
 def check_at_least_one_overall(t: StarSchema) -> DataFrame:
-    return C.at_least_one(_events(t).filter("event_type = 'error'"), "value")
+    return C.at_least_one(t.events.withColumn("value", F.lit(None).cast("double")), "value")
 
 
 def check_not_constant(t: StarSchema) -> DataFrame:
@@ -118,8 +133,7 @@ def check_mutually_exclusive_ranges(t: StarSchema) -> DataFrame:
 def check_mutually_exclusive_ranges_overall(t: StarSchema) -> DataFrame:
     """Numbers of shipped lines must follow each other without gaps."""
     return C.mutually_exclusive_ranges(
-        t.lineitem.filter("l_returnflag = 'A'"), "l_orderkey", "l_orderkey + 1",
-        gaps="not_allowed")
+        t.lineitem, "l_orderkey", "l_orderkey + 1", gaps="not_allowed")
 
 
 def check_recency(t: StarSchema) -> DataFrame:
@@ -264,7 +278,7 @@ with linked as (
       as next_lower_bound,
     row_number() over (order by l_orderkey desc, l_linenumber desc, l_partkey desc,
       l_suppkey desc) = 1 as is_last_record
-  from lineitem where l_returnflag = 'A')
+  from lineitem)
 select * from linked
 where not (coalesce(lower_bound < upper_bound, false)
   and coalesce(upper_bound = next_lower_bound, is_last_record, false))
@@ -361,6 +375,17 @@ select distinct event_type as value_field from events where event_type in ('erro
 """),
     "check_accepted_range": Query(
         check_accepted_range, _lines_where("not l_quantity >= 2 or not l_quantity <= 49")),
+    "check_accepted_range_columns": Query(check_accepted_range_columns, """
+select l_orderkey, cast(l_linenumber as bigint) as l_linenumber, l_partkey
+from lineitem join orders on l_orderkey = o_orderkey
+where l_shipdate < o_orderdate or l_shipdate > o_orderdate + interval 60 day
+"""),
+    "check_column_set": Query(check_column_set, """
+select o_orderstatus, count(*) as n, 'o_comment' as missing, (
+    select string_agg(column_name, ',' order by column_name) from (describe orders)
+    where column_name not in ('o_orderkey', 'o_custkey')) as unexpected
+from orders group by 1
+"""),
     "check_accepted_range_exclusive": Query(
         check_accepted_range_exclusive, _lines_where("not discount > 0.01")),
     "check_expression_is_true": Query(
@@ -375,8 +400,7 @@ select event_type, count(case when event_type <> 'error' then value end) as n_va
 from events group by 1 having n_values = 0
 """),
     "check_at_least_one_overall": Query(check_at_least_one_overall, """
-select count(case when event_type <> 'error' then value end) as n_values
-from events where event_type = 'error' having n_values = 0
+select count(null) as n_values from events having n_values = 0
 """),
     "check_not_constant": Query(check_not_constant, """
 select l_orderkey from lineitem group by 1 having count(distinct l_partkey) = 1

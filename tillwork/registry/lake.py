@@ -12,8 +12,6 @@ from tillwork.registry.base import Query
 from tillwork.sources import raw_zone, star_schema as star, tables
 from tillwork.sources.star_schema import StarSchema
 
-FIRST, LAST = "1990-01-01", "2010-12-31"
-
 
 def _land_orders(t: StarSchema) -> str:
     root = session.scratch_path(t.spark, "raw")
@@ -28,7 +26,7 @@ def _land_products(t: StarSchema, root: str) -> None:
 
 
 def _read_orders(t: StarSchema) -> DataFrame:
-    return raw_zone.read_orders(t.spark, _land_orders(t), FIRST, LAST, json_lines=True)
+    return raw_zone.read_orders(t.spark, _land_orders(t), json_lines=True)
 
 
 def json_orders(t: StarSchema) -> DataFrame:
@@ -47,7 +45,7 @@ def json_items_keep_empty(t: StarSchema) -> DataFrame:
 def json_products(t: StarSchema) -> DataFrame:
     root = session.scratch_path(t.spark, "raw")
     _land_products(t, root)
-    read = raw_zone.read_products(t.spark, root, FIRST, LAST, json_lines=True)
+    read = raw_zone.read_products(t.spark, root, json_lines=True)
     return ingest.flatten_products(read).drop("_ingested_at")
 
 
@@ -57,7 +55,7 @@ def backfill_counts(t: StarSchema) -> DataFrame:
     _land_products(t, root)
     target = session.scratch_path(t.spark, "ingested")
     for _ in range(2):
-        ingest.ingest(t.spark, root, target, FIRST, LAST, json_lines=True)
+        ingest.ingest(t.spark, root, target, json_lines=True)
     counts = {
         name: t.spark.read.parquet(f"{target}/{name}").groupBy(F.col(day).alias("day"))
         .agg(F.count("*").alias("n"))
@@ -82,7 +80,7 @@ def _job(t: StarSchema) -> tuple[dict[str, DataFrame], DataFrame]:
     _land_products(t, root)
     work = session.scratch_path(t.spark, "job")
     return job.run(
-        t.spark, root, f"{work}/ingested", f"{work}/target", FIRST, LAST, json_lines=True,
+        t.spark, root, f"{work}/ingested", f"{work}/target", json_lines=True,
         source_checks=check_suite.source_checks(
             channels=["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]),
         model_checks=check_suite.model_checks(

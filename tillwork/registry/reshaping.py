@@ -87,7 +87,7 @@ def union_files(t: StarSchema) -> DataFrame:
 
 def pivot_status(t: StarSchema) -> DataFrame:
     """Orders per priority and status. The statuses are read off the table first."""
-    statuses = profile.column_values(t.orders, "o_orderstatus")
+    statuses = profile.column_values(t.orders, "o_orderstatus", max_records=100)
     return t.orders.groupBy("o_orderpriority").agg(
         *reshape.pivot("o_orderstatus", statuses, prefix="n_"),
         *reshape.pivot("o_orderstatus", statuses, prefix="total ", slug_names=True,
@@ -201,10 +201,10 @@ def weekly_revenue_filled(t: StarSchema) -> DataFrame:
 
 
 def events_filled(t: StarSchema) -> DataFrame:
-    """Events per week and user; users are absent in most weeks at the start."""
+    """Events per week, user and type, between the first and last week of each."""
     week = calendar.week_start(F.col("ts").cast("date")).alias("week")
     counted = t.events.groupBy(week, "user_id", "event_type").agg(F.count("*").alias("n"))
-    return spine.fill_weeks(counted, "week", ["user_id", "event_type"], ["n"])
+    return spine.fill_weeks(counted, "week", ["user_id", "event_type"], ["n"], own_span=True)
 
 
 # ---- profiles
@@ -224,12 +224,9 @@ def orders_of_last_day(t: StarSchema) -> DataFrame:
 
 
 def events_at_maximum(t: StarSchema) -> DataFrame:
-    """Events with the highest value of their type, looked up from a small result."""
-    highest = profile.as_dict(t.events.groupBy("event_type").agg(F.max("value").alias("top")))
-    hit = F.lit(False)
-    for kind, top in zip(highest["event_type"], highest["top"]):
-        hit = hit | ((F.col("event_type") == kind) & (F.col("value") == top))
-    return t.events.filter(hit).select("event_id", "event_type", "value")
+    """Events with the highest value of their type."""
+    highest = t.events.groupBy("event_type").agg(F.max("value").alias("value"))
+    return t.events.join(highest, ["event_type", "value"]).select("event_id", "event_type", "value")
 
 
 UNPIVOT_SQL = """
@@ -262,11 +259,10 @@ EVENTS_FILLED_SQL = """
 with counted as (
   select cast(date_trunc('week', ts) as date) as week, user_id, event_type, count(*) as n
   from events group by 1, 2, 3),
-span as (select min(week) as lo, max(week) as hi from counted),
 grid as (
   select user_id, event_type,
-    cast(unnest(generate_series(lo, hi, interval 7 day)) as date) as week
-  from (select distinct user_id, event_type from counted), span)
+    cast(unnest(generate_series(min(week), max(week), interval 7 day)) as date) as week
+  from counted group by 1, 2)
 select week, user_id, event_type, coalesce(n, 0) as n
 from grid left join counted using (week, user_id, event_type)
 """

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,15 +40,10 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def _local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder; on a cluster a
-    missing setting is an error, because files in it must outlive executors.
+    A missing setting is an error, because files in it must outlive executors.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -57,9 +51,7 @@ def shared_dir(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
-        if not _local(spark):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="tillwork-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(configured)
     return configured

@@ -12,7 +12,7 @@ PRODUCTS, PRODUCTS_DAY = "products", "snapshot_date"
 
 def _read(
     spark: SparkSession, root: str, kind: str, day: str, schema: T.StructType,
-    start: str, end: str | None, json_lines: bool, corrupt: bool,
+    start: str | None, end: str | None, json_lines: bool, corrupt: bool,
 ) -> DataFrame:
     if corrupt:
         schema = T.StructType([*schema.fields, T.StructField(schemas.CORRUPT, T.StringType())])
@@ -20,16 +20,19 @@ def _read(
     if corrupt:
         reader = reader.option("columnNameOfCorruptRecord", schemas.CORRUPT)
     # the whole zone is named and the day filter picks its folders
-    return reader.json(f"{root.rstrip('/')}/{kind}").filter(
+    documents = reader.json(f"{root.rstrip('/')}/{kind}")
+    if start is None:
+        return documents
+    return documents.filter(
         F.col(day).between(F.lit(start).cast("date"), F.lit(end or start).cast("date"))
     )
 
 
 def read_orders(
-    spark: SparkSession, root: str, start: str, end: str | None = None,
+    spark: SparkSession, root: str, start: str | None = None, end: str | None = None,
     json_lines: bool = False, corrupt: bool = False,
 ) -> DataFrame:
-    """Order documents of the days ``start`` to ``end``, both included.
+    """Order documents of the days ``start`` to ``end``, both included; of all days without ``start``.
 
     A file with one JSON array is one task, however large; ``json_lines`` files
     are split. ``corrupt`` adds the text of documents that do not fit the schema.
@@ -39,10 +42,10 @@ def read_orders(
 
 
 def read_products(
-    spark: SparkSession, root: str, start: str, end: str | None = None,
+    spark: SparkSession, root: str, start: str | None = None, end: str | None = None,
     json_lines: bool = False, corrupt: bool = False,
 ) -> DataFrame:
-    """Product snapshot documents of the days ``start`` to ``end``."""
+    """Product snapshot documents of the days ``start`` to ``end``; of all days without ``start``."""
     return _read(spark, root, PRODUCTS, PRODUCTS_DAY, schemas.PRODUCT_DOCUMENT,
                  start, end, json_lines, corrupt)
 
