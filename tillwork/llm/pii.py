@@ -26,6 +26,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tillwork import session
 from tillwork.llm.common import slices
 
 # Titles and given names by script and gender.
@@ -300,7 +301,7 @@ def collisions(found: DataFrame) -> DataFrame:
 
 def check_distinct(docs: DataFrame, key: bytes) -> None:
     """Raise if surrogates of these documents lose distinctness or coreference."""
-    bad = collisions(entities(docs, key)).count()
+    bad = collisions(session.materialise(entities(docs, key))).count()
     if bad:
         raise ValueError(f"{bad} surrogates are not one to one")
 

@@ -35,8 +35,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, special))) if special else None
+        special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.special = re.compile("|".join(map(re.escape, special)))
+        self.between, self.between_id = next(iter(special.items()))
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
         self.end = np.array([END_ID], self.kind).tobytes()
@@ -44,15 +45,16 @@ class Encoder:
 
     def _encode(self, pieces: list[str]) -> dict[str, bytes]:
         out = {}
-        for at in range(0, len(pieces), 4096):
-            some = pieces[at:at + 4096]
-            done = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
-            word = np.array(done.word_ids, np.int64)
-            ends = np.searchsorted(word, np.arange(len(some)), side="right") * self.width
-            raw, begin = np.array(done.ids, self.kind).tobytes(), 0
-            for piece, end in zip(some, ends.tolist()):
+        for at in range(0, len(pieces), 64):
+            some = pieces[at:at + 64]
+            # what stands between special tokens is encoded by itself
+            done = self.tokenizer.encode_batch_fast([self.between.join(some)], add_special_tokens=False)
+            ids = np.array(done[0].ids, self.kind)
+            ends = [*(np.flatnonzero(ids == self.between_id) * self.width).tolist(), ids.nbytes]
+            raw, begin = ids.tobytes(), 0
+            for piece, end in zip(some, ends, strict=True):
                 out[piece] = raw[begin:end]
-                begin = end
+                begin = end + self.width
         return out
 
     def ids(self, text: str | None, end: bool = True) -> bytes:
@@ -60,13 +62,13 @@ class Encoder:
         tail = self.end if end else b""
         if not text:
             return tail
-        if _ODD.search(text) or (self.special and self.special.search(text)):
+        if _ODD.search(text) or self.special.search(text):
             done = self.tokenizer.encode(text, add_special_tokens=False)
             return np.array(done.ids, self.kind).tobytes() + tail
         pieces = PIECES.findall(text)
         known = self.known
         try:
-            return b"".join([known[p] for p in pieces]) + tail
+            return b"".join(map(known.__getitem__, pieces)) + tail
         except KeyError:
             missing = {p for p in pieces if p not in known}
             # a full stop or comma that ends a word is a token of its own
@@ -74,7 +76,7 @@ class Encoder:
             known.update(self._encode(list(
                 (missing - marked) | {x for p in marked for x in (p[:-1], p[-1]) if x not in known})))
             known.update((p, known[p[:-1]] + known[p[-1]]) for p in marked)
-            joined = b"".join([known[p] for p in pieces]) + tail
+            joined = b"".join(map(known.__getitem__, pieces)) + tail
             if len(known) > self.keep:  # what came first is what comes often
                 self.known = dict(islice(known.items(), self.keep // 2))
             return joined

@@ -156,12 +156,13 @@ def sample_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id``, ``text`` and ``toxic`` of at most ``SAMPLE`` labelled documents per label."""
     known = labels.select(F.col("doc_id").cast("long"), (F.col("toxic") > 0).cast("int").alias("toxic")) \
         .filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    pick = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
+    known = known.withColumn("no", F.xxhash64("doc_id"))
     # twice as many as needed: some labels may have no document here
-    drawn = known.withColumn("no", F.row_number().over(pick)).filter(F.col("no") <= 2 * SAMPLE)
+    drawn, clean = (known.filter(F.col("toxic") == y).orderBy("no", "doc_id").limit(2 * SAMPLE) for y in (1, 0))
+    drawn = drawn.unionByName(clean)
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     found = narrow.join(F.broadcast(drawn), "doc_id").dropDuplicates(["doc_id"])
-    again = Window.partitionBy("toxic").orderBy("no")
+    again = Window.partitionBy("toxic").orderBy("no", "doc_id")  # at most 2 * SAMPLE rows
     ids = found.select("doc_id", "toxic", "no").withColumn("rank", F.row_number().over(again)) \
         .filter(F.col("rank") <= SAMPLE).select("doc_id", "toxic")
     return narrow.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
