@@ -30,16 +30,16 @@ FILE_PAGES = 500
 def op1_fixity(spark: SparkSession, folder: str) -> DataFrame:
     """The pages as WARC files, and a replica of them in which some records are spoilt.
 
-    By page_id, one in 97 has a changed last character, one in 89 is cut short by it, and one in 83
-    is blank; a shorter record moves all that follow it in the file.
+    By page_id, one in 97 has another last character, one in 89 a blank there, and one in 83 is
+    overwritten; no record changes its length.
     """
     pages = table(spark, folder, "pages").select(F.col("page_id").cast("long"), "url", "html")
-    html, n = F.coalesce("html", F.lit("")), F.char_length(F.coalesce("html", F.lit("")))
-    cut = F.substring(html, F.lit(1), F.greatest(n - 1, F.lit(0)))
-    which = F.coalesce("page_id", F.lit(-1))
-    spoilt = F.when(which % 97 == 5, F.concat(cut, F.lit("\u0001"))) \
-        .when(which % 89 == 7, F.concat(cut, F.lit(" "))).when(which % 83 == 11, F.repeat(F.lit("#"), n)) \
-        .otherwise(html)
+    html = F.coalesce("html", F.lit(""))
+    cut, which = F.substring(html, F.lit(1), F.char_length(html) - 1), F.coalesce("page_id", F.lit(-1))
+    one_byte = F.octet_length(F.substring(html, -1, 1)) == 1
+    spoilt = F.when(one_byte & (which % 97 == 5), F.concat(cut, F.lit("\u0001"))) \
+        .when(one_byte & (which % 89 == 7), F.concat(cut, F.lit(" "))) \
+        .when(which % 83 == 11, F.repeat(F.lit("#"), F.octet_length(html))).otherwise(html)
     name = F.format_string("pages-%09d.warc", F.floor(which / FILE_PAGES).cast("long"))
     sides = [fixity.laid_out(pages.withColumn("body", body),
                              fixity.warc_record(F.col("url"), F.col("body"), F.col("page_id")),
@@ -47,6 +47,25 @@ def op1_fixity(spark: SparkSession, folder: str) -> DataFrame:
     return fixity.audit(*[session.materialise(s) for s in sides])
 
 
+# the fixed text of a record: its header lines with the 40 digits of its id, and the breaks behind it
+FIXED_BYTES = len("WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:sha1:>\r\nWARC-Target-URI: \r\n"
+                  "Content-Type: text/html\r\nContent-Length: \r\n\r\n\r\n\r\n") + 40
+OP1_SQL = f"""
+with r as (
+  select page_id, coalesce(url, '') as url, coalesce(html, '') as html,
+    coalesce(page_id, -1) // {FILE_PAGES} as file_no, strlen(coalesce(html, '')) as n from pages),
+placed as (
+  select *, sum({FIXED_BYTES} + strlen(url) + n + length(cast(n as varchar))) over (
+      partition by file_no order by page_id rows between unbounded preceding and 1 preceding) as bytes_before,
+    case when strlen(right(html, 1)) = 1 and page_id % 97 = 5 then right(html, 1) <> chr(1)
+      when strlen(right(html, 1)) = 1 and page_id % 89 = 7 then right(html, 1) <> ' '
+      when page_id % 83 = 11 then html <> repeat('#', n) else false end as spoilt
+  from r)
+select 'pages-' || lpad(cast(file_no as varchar), 9, '0') || '.warc' as file,
+  cast(coalesce(bytes_before, 0) as bigint) as "offset", 'altered' as state
+from placed where spoilt"""
+
+
 def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents"))
 
@@ -123,7 +142,7 @@ from turns group by conv_id"""
 
 
 QUERIES = {
-    "op1_fixity": Query(op1_fixity),
+    "op1_fixity": Query(op1_fixity, OP1_SQL),
     "op2_language": Query(op2_language),
     "op3_simhash": Query(op3_simhash),
     "op4_decontamination": Query(op4_decontamination),
