@@ -73,7 +73,7 @@ def test_positions_without_groups(spark, rows):
     assert rows(positions(df, [], {"n": ["v"]})) == rows(expected)
 
 
-def test_ordered_operators_on_no_rows(spark, way):
+def test_ordered_operators_on_no_rows(spark):
     df = _ordered(spark, 5, [1], 1).limit(0)
     assert neighbour(df, ["g"], ["v"], "x").count() == 0
     assert positions(df, ["g"], {"n": ["v"]}).count() == 0
