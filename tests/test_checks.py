@@ -289,3 +289,14 @@ def test_split_bad_rows(spark, rows):
     good, bad = split_bad_rows(df, {"no_v": C.null_rule("v"), "no_id": C.null_rule("id")})
     assert rows(good) == [(1, 5)]
     assert rows(bad) == [(None, None, ["no_v", "no_id"]), (2, None, ["no_v"])]
+
+
+def test_equal_labels_are_refused(spark):
+    table = spark.range(3)
+    twice = [Check("expression_is_true", "t", args={"expression": e}) for e in ("id < 1", "id < 2")]
+    with pytest.raises(ValueError, match="expression_is_true_t"):
+        run_checks({"t": table}, twice)
+    named = [twice[0], Check("expression_is_true", "t", args={"expression": "id < 2"},
+                             severity="warn", name="below_two")]
+    status = {r["check_name"]: r["status"] for r in run_checks({"t": table}, named).collect()}
+    assert status == {"expression_is_true_t": "error", "below_two": "warn"}

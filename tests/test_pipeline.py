@@ -1,9 +1,12 @@
 import json
+import os
+import shutil
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from tillwork import session
 from tillwork.plans import check_suite, ingest, job, marts, staging, warehouse
 from tillwork.sources import raw_zone
 from tillwork.streaming import landing
@@ -99,7 +102,9 @@ def test_bad_input_is_null_or_rejected_and_never_fatal(spark, tmp_path):
     read = raw_zone.read_orders(spark, str(tmp_path), "2026-02-01", json_lines=True)
     flat = ingest.flatten_orders(read)
     assert flat.filter("order_timestamp is null").count() == 1
-    rejected = ingest.rejected_documents(spark, str(tmp_path), "2026-02-01", json_lines=True)
+    parsed = session.materialise(raw_zone.read_orders(
+        spark, str(tmp_path), "2026-02-01", json_lines=True, corrupt=True))
+    rejected = ingest.rejected_documents(parsed)
     assert [json.loads(r["_corrupt_record"])["order_id"] for r in rejected.collect()] == [
         "ORD-20260201-00003"]
 
@@ -107,12 +112,38 @@ def test_bad_input_is_null_or_rejected_and_never_fatal(spark, tmp_path):
 def test_ingest_twice_is_ingest_once(spark, raw, tmp_path, rows):
     target = str(tmp_path / "ingested")
     first = ingest.ingest(spark, raw, target, "2026-01-03", "2026-01-04")
-    assert first == {"stg_orders": 5, "stg_order_items": 7, "stg_products": 4}
+    assert first == {"stg_orders": 5, "stg_order_items": 7, "stg_products": 4, "rejected": 0}
     before = rows(spark.read.parquet(f"{target}/stg_order_items").drop("_ingested_at"))
     assert ingest.ingest(spark, raw, target, "2026-01-04")["stg_orders"] == 2
     assert rows(spark.read.parquet(f"{target}/stg_order_items").drop("_ingested_at")) == before
 
 
+def test_a_day_that_comes_back_empty_is_empty(spark, raw, tmp_path):
+    target = str(tmp_path / "ingested")
+    ingest.ingest(spark, raw, target, "2026-01-03", "2026-01-04")
+    again = tmp_path / "again" / "orders" / "date=2026-01-04"
+    again.mkdir(parents=True)
+    (again / "orders.json").write_text("[]")
+    shutil.copytree(os.path.join(raw, "products"), str(tmp_path / "again" / "products"))
+    ingest.ingest(spark, str(tmp_path / "again"), target, "2026-01-04")
+    for name in ("stg_orders", "stg_order_items"):
+        days = spark.read.parquet(f"{target}/{name}").select("_ingestion_date").distinct()
+        assert [str(r[0]) for r in days.collect()] == ["2026-01-03"]
+
+
+def test_broken_documents_are_counted_and_unkeyed_lines_stay(spark, raw, tmp_path):
+    folder = tmp_path / "orders" / "date=2026-02-01"
+    folder.mkdir(parents=True)
+    unkeyed = {k: v for k, v in item("1-1", "P1").items() if k != "line_item_id"}
+    good = order("2026-02-01", 1, [unkeyed, unkeyed, item("1-2", "P1"), item("1-2", "P1")])
+    (folder / "orders.json").write_text("\n".join([json.dumps(good), *['{"order_id": "x'] * 3]))
+    shutil.copytree(os.path.join(raw, "products"), str(tmp_path / "products"))
+    target = str(tmp_path / "ingested")
+    written = ingest.ingest(spark, str(tmp_path), target, "2026-02-01", json_lines=True)
+    assert (written["rejected"], written["stg_orders"], written["stg_order_items"]) == (3, 1, 3)
+    assert spark.read.parquet(f"{target}/stg_order_items").filter("line_item_id is null").count() == 2
+
+
 def test_appended_copies_are_settled_in_staging(spark, raw, tmp_path, rows):
     target = str(tmp_path / "ingested")
     for _ in range(2):

@@ -27,6 +27,19 @@ def test_redelivered_rows_are_taken_once_across_batches(spark, tmp_path, rows):
     assert rows(spark.read.parquet(out).select("event_id")) == [(1,), (2,), (3,)]
 
 
+def test_late_rows_are_found_again(spark, tmp_path, rows):
+    path = files(spark, tmp_path, [(1, datetime(2024, 3, 1), 5)], [(2, datetime(2024, 3, 2), 1)],
+                 [(3, datetime(2024, 1, 1), 6), (3, datetime(2024, 1, 1), 6)])
+    stream = windows.read_table_stream(spark, path, max_files=1)
+    out = str(tmp_path / "out")
+    windows.append_rows(
+        windows.drop_redelivered(stream, ["event_id"], "at", "1 day"), out, str(tmp_path / "cp"))
+    kept = spark.read.parquet(out)
+    late = windows.late_rows(spark.read.parquet(path), kept, ["event_id"])
+    assert rows(kept.select("event_id")) == [(1,), (2,)]
+    assert rows(late.select("event_id")) == [(3,)]
+
+
 def test_weeks_are_updated_by_later_batches(spark, tmp_path, rows):
     path = files(spark, tmp_path,
                  [(1, datetime(2024, 1, 1), 5), (2, datetime(2024, 1, 7, 23), 6)],

@@ -22,12 +22,22 @@ def _stamp(day: Column, ingested_at: Column | None) -> list[Column]:
     return [day.cast("date").alias("_ingestion_date"), now.alias("_ingested_at")]
 
 
+def _one_per_key(
+    flat: DataFrame, keys: list[str], order: list[Column], unknown: str
+) -> DataFrame:
+    """One row per ``keys``; rows marked ``unknown`` have no key and all stay, for the checks to count."""
+    alone = F.when(F.col(unknown), F.monotonically_increasing_id())
+    marked = flat.withColumn(unknown, alone)
+    return deduplicate(marked, [*keys, unknown], order).drop(unknown)
+
+
 def flatten_orders(
     documents: DataFrame, day: str = raw_zone.ORDERS_DAY, ingested_at: Column | None = None
 ) -> DataFrame:
     """One row per order and delivery day, customer fields beside it.
 
-    Of several copies in one delivery the one created last stays.
+    Of several copies in one delivery the one created last stays; documents
+    without an order id are no copies of each other.
     """
     moment = parse_moment(F.col("created_at"))
     customer = [
@@ -39,11 +49,11 @@ def flatten_orders(
         "order_id", moment.alias("order_timestamp"), moment.cast("date").alias("order_date"),
         "channel", "order_status", "shipping_country", *customer,
         F.col("customer.signup_date").try_cast("date").alias("customer_signup_date"),
-        *_stamp(F.col(day), ingested_at),
+        *_stamp(F.col(day), ingested_at), F.col("order_id").isNull().alias("_unknown"),
     )
     order = [F.desc("order_timestamp"), F.asc("order_status"), F.asc("channel"),
              F.asc("customer_id")]
-    return deduplicate(flat, ["order_id", "_ingestion_date"], order)
+    return _one_per_key(flat, ["order_id", "_ingestion_date"], order, "_unknown")
 
 
 def explode_items(
@@ -53,7 +63,7 @@ def explode_items(
     """One row per line item, with line totals.
 
     Orders without items vanish unless ``keep_empty``. Of copies of a line within
-    one delivery one stays.
+    one delivery one stays; lines without an id are no copies of each other.
     """
     spread = F.explode_outer if keep_empty else F.explode
     lines = documents.select(
@@ -72,13 +82,14 @@ def explode_items(
         money(F.col("item.sale_price") * quantity).alias("line_total"),
         money(F.col("item.cost_price") * quantity).alias("line_cost"),
         "_ingestion_date", "_ingested_at",
+        (F.col("item").isNotNull() & F.col("item.line_item_id").isNull()).alias("_unknown"),
     )
     keys = ["line_item_id", "_ingestion_date"]
     if keep_empty:
         keys.append("order_id")
     order = [F.asc(c) for c in ("order_date", "order_id", "product_id", "sku", "quantity",
                                 "sale_price")]
-    return deduplicate(flat, keys, order)
+    return _one_per_key(flat, keys, order, "_unknown")
 
 
 def flatten_products(
@@ -97,17 +108,20 @@ def flatten_products(
     )
 
 
-def rejected_documents(
-    spark: SparkSession, root: str, start: str | None = None, end: str | None = None,
-    json_lines: bool = False,
-) -> DataFrame:
-    """Order documents that do not fit the schema, as text, for the quarantine."""
-    read = raw_zone.read_orders(spark, root, start, end, json_lines, corrupt=True)
-    # a document is only judged by the columns asked for, so all of them are
-    rejected = session.materialise(read.filter(F.col(schemas.CORRUPT).isNotNull()))
-    return rejected.select(
-        F.col(raw_zone.ORDERS_DAY).alias("_ingestion_date"), schemas.CORRUPT
-    )
+def rejected_documents(parsed: DataFrame, day: str = raw_zone.ORDERS_DAY) -> DataFrame:
+    """Documents that do not fit the schema, as text and by delivery day.
+
+    ``parsed`` was read with ``corrupt`` and written out: a document is only judged by the
+    columns asked for, so all of them must have been.
+    """
+    return parsed.filter(F.col(schemas.CORRUPT).isNotNull()).select(
+        F.col(day).cast("date").alias("_ingestion_date"), schemas.CORRUPT)
+
+
+def fitting_documents(parsed: DataFrame, key: str) -> DataFrame:
+    """Documents that fit, and those of which only single cells do not, which are NULL then."""
+    fits = F.col(schemas.CORRUPT).isNull() | F.col(key).isNotNull()
+    return parsed.filter(fits).drop(schemas.CORRUPT)
 
 
 def ingest(
@@ -118,21 +132,24 @@ def ingest(
 
     The session's settings become those of ``session.tune``. One job covers the whole range. A day that is loaded again replaces itself:
     folders go by the day of the delivery, not by ``order_date``, since a file may
-    hold a stray row of another day. Returns the number of rows per table.
+    hold a stray row of another day; a day that comes back empty loses its folder.
+    Order documents that do not fit go to ``rejected`` (those of which some cells fit are loaded too).
+    Returns the number of rows per table.
     """
     session.tune(spark)
     # JSON is parsed once; orders and items then read their own columns of the copy
-    orders = tables.write_table(
-        raw_zone.read_orders(spark, root, start, end, json_lines),
-        session.scratch_path(spark, "parsed-orders"),
-    )
+    parsed = session.materialise(
+        raw_zone.read_orders(spark, root, start, end, json_lines, corrupt=True))
+    orders = fitting_documents(parsed, "order_id")
     products = raw_zone.read_products(spark, root, start, end, json_lines)
     target = target.rstrip("/")
+
+    def write(name: str, rows: DataFrame, day: str = "_ingestion_date") -> int:
+        return tables.write_days(rows, f"{target}/{name}", day, append, (start, end))
+
     return {
-        "stg_orders": tables.write_days(
-            flatten_orders(orders), f"{target}/stg_orders", "_ingestion_date", append),
-        "stg_order_items": tables.write_days(
-            explode_items(orders), f"{target}/stg_order_items", "_ingestion_date", append),
-        "stg_products": tables.write_days(
-            flatten_products(products), f"{target}/stg_products", "snapshot_date", append),
+        "stg_orders": write("stg_orders", flatten_orders(orders)),
+        "stg_order_items": write("stg_order_items", explode_items(orders)),
+        "stg_products": write("stg_products", flatten_products(products), "snapshot_date"),
+        "rejected": write("rejected", rejected_documents(parsed)),
     }

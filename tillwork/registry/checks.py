@@ -7,9 +7,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tillwork import session
 from tillwork.operators import checks as C
 from tillwork.operators.dedup import deduplicate
-from tillwork.plans.check_suite import Check, run_checks
+from tillwork.operators.reshape import union_relations
+from tillwork.plans.check_suite import Check, run_checks, store_failures
 from tillwork.registry.base import Query
 from tillwork.sources.star_schema import StarSchema
 
@@ -222,6 +224,8 @@ def check_suite(t: StarSchema) -> DataFrame:
         Check("accepted_range", "lines", "l_quantity", {"min_value": 2, "max_value": 49},
               where="l_returnflag = 'A'", error_if=">1000000000000"),
         Check("expression_is_true", "lines", args={"expression": "tax + discount < 0.17"}),
+        Check("expression_is_true", "lines", args={"expression": "tax + discount < 0.15"},
+              severity="warn", name="low_tax_and_discount"),
         Check("not_null_proportion", "lines", "discount", {"at_least": 0.95}),
         Check("not_constant", "lines", "l_returnflag"),
         Check("at_least_one", "events", "value"),
@@ -242,6 +246,18 @@ def check_suite(t: StarSchema) -> DataFrame:
     ])
 
 
+def check_stored_failures(t: StarSchema) -> DataFrame:
+    """Violating rows read back from the tables two checks of one kind were stored in."""
+    paths = store_failures({"lines": _lines(t)}, [
+        Check("expression_is_true", "lines", args={"expression": "tax + discount < 0.17"}),
+        Check("expression_is_true", "lines", args={"expression": "tax + discount < 0.15"},
+              name="low_tax_and_discount"),
+    ], session.scratch_path(t.spark, "failures"))
+    return union_relations(
+        {name: t.spark.read.parquet(path).select(*LINE) for name, path in paths.items()},
+        source_column_name="check_name")
+
+
 _KEYS = "l_orderkey, cast(l_linenumber as bigint) as l_linenumber, l_partkey, l_suppkey"
 _LINES_SQL = """
 lines as (
@@ -312,6 +328,8 @@ results(check_name, table_name, column_name, failures, severity, error, warn) as
     'error', 1000000000000, 0
   union all select 'expression_is_true_lines', 'lines', null,
     (select count(*) from lines where not (tax + discount < 0.17)), 'error', 0, 0
+  union all select 'low_tax_and_discount', 'lines', null,
+    (select count(*) from lines where not (tax + discount < 0.15)), 'warn', 0, 0
   union all select 'not_null_proportion_lines_discount', 'lines', 'discount',
     (select case when count(discount) / count(*) < 0.95 then 1 else 0 end from lines),
     'error', 0, 0
@@ -496,4 +514,10 @@ where round(cast(l_extendedprice as decimal(12,2)) * cast(l_discount as decimal(
   <> cast(l_extendedprice as decimal(12,2)) * cast(l_discount as decimal(4,2))
 """),
     "check_suite": Query(check_suite, SUITE_SQL),
+    "check_stored_failures": Query(check_stored_failures, f"""
+with {_LINES_SQL}
+select check_name, {_KEYS} from lines, (values ('expression_is_true_lines', 0.17),
+  ('low_tax_and_discount', 0.15)) as rules(check_name, below)
+where not (tax + discount < cast(below as double))
+"""),
 }

@@ -13,10 +13,11 @@ from tillwork.sources import raw_zone, star_schema as star, tables
 from tillwork.sources.star_schema import StarSchema
 
 
-def _land_orders(t: StarSchema) -> str:
+def _land_orders(t: StarSchema, documents: DataFrame | None = None) -> str:
     root = session.scratch_path(t.spark, "raw")
     raw_zone.write_documents(
-        star.order_documents(t), root, raw_zone.ORDERS, raw_zone.ORDERS_DAY)
+        star.order_documents(t) if documents is None else documents,
+        root, raw_zone.ORDERS, raw_zone.ORDERS_DAY)
     return root
 
 
@@ -56,6 +57,46 @@ def backfill_counts(t: StarSchema) -> DataFrame:
     target = session.scratch_path(t.spark, "ingested")
     for _ in range(2):
         ingest.ingest(t.spark, root, target, json_lines=True)
+    return _rows_by_day(t, target)
+
+
+def backfill_withdrawn(t: StarSchema) -> DataFrame:
+    """Rows per day folder when a second load lacks the last months' orders and some months' items."""
+    day = raw_zone.ORDERS_DAY
+    documents = star.order_documents(t)
+    left = documents.filter(F.month(day) <= 9).withColumn(
+        "items", F.filter("items", lambda _: F.month(day) <= 6))
+    target = session.scratch_path(t.spark, "ingested")
+    for root in (_land_orders(t, documents), _land_orders(t, left)):
+        _land_products(t, root)
+        ingest.ingest(t.spark, root, target, json_lines=True)
+    return _rows_by_day(t, target)
+
+
+def daily_job_rejected(t: StarSchema) -> DataFrame:
+    """Documents per day that were cut off on their way, beside the orders that were loaded."""
+    day = raw_zone.ORDERS_DAY
+    root = _land_orders(t)
+    _land_products(t, root)
+    cut = t.orders.filter("o_orderstatus = 'P'").select(
+        F.format_string('{"order_id": "%s", "created_at": "2', F.col("o_orderkey").cast("string"))
+        .alias("value"),
+        F.trunc(F.col("o_orderdate").cast("date"), "month").alias(day))
+    cut.hint("rebalance", day).write.partitionBy(day).mode("append").text(
+        f"{root}/{raw_zone.ORDERS}")
+    target = session.scratch_path(t.spark, "ingested")
+    ingest.ingest(t.spark, root, target, json_lines=True)
+
+    def per_day(name: str) -> DataFrame:
+        return t.spark.read.parquet(f"{target}/{name}").groupBy("_ingestion_date").agg(
+            F.count("*").alias(name))
+
+    return per_day("stg_orders").join(per_day("rejected"), "_ingestion_date", "full").select(
+        F.col("_ingestion_date").alias("day"), F.col("stg_orders").alias("loaded"),
+        F.coalesce("rejected", F.lit(0)).alias("rejected"))
+
+
+def _rows_by_day(t: StarSchema, target: str) -> DataFrame:
     counts = {
         name: t.spark.read.parquet(f"{target}/{name}").groupBy(F.col(day).alias("day"))
         .agg(F.count("*").alias("n"))
@@ -138,6 +179,15 @@ delivered as (
     partition by {_LINE_ID}, date_trunc('month', o_orderdate)
     order by o_orderdate, l_quantity, {_SOLD}) = 1)"""
 
+# the two items of each line
+PIECES = f"""{DELIVERED},
+pieces as (
+  select *, {_LINE_ID} as line_item_id, cast(l_quantity as bigint) as quantity,
+    cast(l_extendedprice as double) as original_price, {_SOLD} as sold, {_COST} as cost,
+    cast(l_discount as decimal(4,2)) as discount from delivered
+  union all
+  select *, {_LINE_ID} || '-wrap', 1, 2.5, 2.5, 1.0, 0 from delivered)"""
+
 JSON_ORDERS_SQL = f"""
 select cast(o_orderkey as varchar) as order_id, {S.moment('o_orderdate')} as order_timestamp,
   cast(o_orderdate as date) as order_date, o_orderpriority as channel,
@@ -152,24 +202,23 @@ from orders left join customer on o_custkey = c_custkey
 """
 
 JSON_ITEMS_SQL = f"""
-with {DELIVERED}
+with {PIECES}
 select cast(l_orderkey as varchar) as order_id, cast(o_orderdate as date) as order_date,
-  {_LINE_ID} as line_item_id, cast(l_partkey as varchar) as product_id,
+  line_item_id, cast(l_partkey as varchar) as product_id,
   cast(l_suppkey as varchar) as sku, cast(null as varchar) as product_name,
   cast(null as varchar) as brand, cast(null as varchar) as category,
-  cast(null as varchar) as subcategory, cast(l_quantity as bigint) as quantity,
-  cast(l_extendedprice as double) as original_price, cast({_SOLD} as double) as sale_price,
-  cast(cast(l_discount as decimal(4,2)) as double) as discount_pct,
-  cast({_COST} as double) as cost_price, 'EUR' as currency,
-  cast({_SOLD} * cast(l_quantity as bigint) as double) as line_total,
-  cast({_COST} * cast(l_quantity as bigint) as double) as line_cost,
+  cast(null as varchar) as subcategory, quantity, original_price,
+  cast(sold as double) as sale_price, cast(discount as double) as discount_pct,
+  cast(cost as double) as cost_price, 'EUR' as currency,
+  cast(sold * quantity as double) as line_total,
+  cast(cost * quantity as double) as line_cost,
   cast(date_trunc('month', o_orderdate) as date) as _ingestion_date
-from delivered
+from pieces
 """
 
 JSON_EMPTY_SQL = """
 select cast(o_orderkey as varchar) as order_id,
-  count(distinct l_linenumber || '-' || l_partkey || '-' || l_suppkey) as lines
+  2 * count(distinct l_linenumber || '-' || l_partkey || '-' || l_suppkey) as lines
 from orders left join lineitem on o_orderkey = l_orderkey group by o_orderkey
 """
 
@@ -185,25 +234,34 @@ from part, (values ('', cast(1.0 as decimal(2,1))), ('-mini', cast(0.5 as decima
 """
 
 BACKFILL_SQL = f"""
-with {DELIVERED}
+with {PIECES}
 select 'stg_orders' as table_name, cast(date_trunc('month', o_orderdate) as date) as day,
   count(distinct o_orderkey) as n
 from orders group by 1, 2
 union all
 select 'stg_order_items', cast(date_trunc('month', o_orderdate) as date), count(*)
-from delivered group by 1, 2
+from pieces group by 1, 2
 union all
 select 'stg_products', date '2001-08-01', 2 * count(*) from part
 """
 
+WITHDRAWN_SQL = f"""
+select * from ({BACKFILL_SQL})
+where table_name = 'stg_products' or month(day) <= case table_name when 'stg_orders' then 9 else 6 end
+"""
+
+REJECTED_SQL = """
+select cast(date_trunc('month', o_orderdate) as date) as day, count(distinct o_orderkey) as loaded,
+  count(*) filter (o_orderstatus = 'P') as rejected
+from orders group by 1
+"""
+
 _JOB_SQL = f"""
-with {DELIVERED},
+with {PIECES},
 lines as (
-  select {_LINE_ID} as line_item_id, o_orderkey as order_id,
-    cast(o_orderdate as date) as order_date,
-    cast(l_quantity as bigint) as quantity, {_SOLD} * cast(l_quantity as bigint) as line_total,
-    p_type as category
-  from delivered left join part on l_partkey = p_partkey
+  select line_item_id, o_orderkey as order_id, cast(o_orderdate as date) as order_date,
+    quantity, sold * quantity as line_total, p_type as category
+  from pieces left join part on l_partkey = p_partkey
   where o_orderstatus = 'F'),
 weekly as (
   select strftime(order_date, '%Y-W%W') as year_week,
@@ -264,6 +322,8 @@ QUERIES = {
     "json_items_keep_empty": Query(json_items_keep_empty, JSON_EMPTY_SQL),
     "json_products": Query(json_products, JSON_PRODUCTS_SQL),
     "backfill_counts": Query(backfill_counts, BACKFILL_SQL),
+    "backfill_withdrawn": Query(backfill_withdrawn, WITHDRAWN_SQL),
+    "daily_job_rejected": Query(daily_job_rejected, REJECTED_SQL),
     "audit_counts": Query(
         audit_counts, "select count(*) as found, count(*) as written from events"),
     "daily_job_revenue": Query(daily_job_revenue, _JOB_SQL + "select * from weekly"),

@@ -51,9 +51,8 @@ def read_products(
 
 
 def write_documents(documents: DataFrame, root: str, kind: str, day: str) -> None:
-    """Documents as zipped JSON Lines in day folders; a heavy day gets several files."""
+    """Documents as JSON Lines in day folders; a heavy day gets several files, which readers can split."""
     (
         documents.hint("rebalance", day)
-        .write.partitionBy(day).mode("append").option("compression", "gzip")
-        .json(f"{root.rstrip('/')}/{kind}")
+        .write.partitionBy(day).mode("append").json(f"{root.rstrip('/')}/{kind}")
     )

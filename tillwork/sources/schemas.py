@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 _TEXT = T.StringType()
-_MONEY = T.DecimalType(18, 4)
+MONEY = T.DecimalType(18, 4)
 _RATE = T.DecimalType(9, 6)
 
 
@@ -20,8 +20,8 @@ CUSTOMER = _struct(
 
 ITEM = _struct(
     line_item_id=_TEXT, product_id=_TEXT, sku=_TEXT, product_name=_TEXT, brand=_TEXT,
-    category=_TEXT, subcategory=_TEXT, quantity=T.IntegerType(), original_price=_MONEY,
-    sale_price=_MONEY, discount_pct=_RATE, cost_price=_MONEY, currency=_TEXT,
+    category=_TEXT, subcategory=_TEXT, quantity=T.IntegerType(), original_price=MONEY,
+    sale_price=MONEY, discount_pct=_RATE, cost_price=MONEY, currency=_TEXT,
 )
 
 ORDER_DOCUMENT = _struct(
@@ -31,7 +31,7 @@ ORDER_DOCUMENT = _struct(
 
 PRODUCT = _struct(
     product_id=_TEXT, product_name=_TEXT, brand=_TEXT, category=_TEXT, subcategory=_TEXT,
-    unit_price=_MONEY, cost_price=_MONEY, sku=_TEXT, is_active=T.BooleanType(),
+    unit_price=MONEY, cost_price=MONEY, sku=_TEXT, is_active=T.BooleanType(),
     updated_at=_TEXT, currency=_TEXT,
 )
 

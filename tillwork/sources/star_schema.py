@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tillwork.sources import raw_zone
+from tillwork.sources import raw_zone, schemas
 
 
 class StarSchema:
@@ -156,11 +156,16 @@ def _moment(c: str) -> Column:
     return F.date_format(F.col(c), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
+#: Prices of the wrapping that comes with every line.
+WRAPPING = {"original_price": "2.50", "sale_price": "2.50", "cost_price": "1.00"}
+
+
 def order_documents(star: StarSchema) -> DataFrame:
     """Nested order documents, delivered by the month.
 
-    Each document holds one line of its order, so an order of any number of lines
-    is never put together in one place; an order without lines has no items.
+    Each document holds one line of its order as two items, the goods and their wrapping. So
+    an order of any number of lines is never put together in one place; an order
+    without lines has no items.
     """
     buyers = star.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
     orders = star.orders.join(buyers, F.col("o_custkey") == F.col("c_custkey"), "left")
@@ -173,19 +178,24 @@ def order_documents(star: StarSchema) -> DataFrame:
     def text(c: str) -> Column:
         return F.col(c).cast("string")
 
-    amounts = _line_amounts()
-    item = F.struct(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-        .alias("line_item_id"),
-        text("l_partkey").alias("product_id"), text("l_suppkey").alias("sku"),
-        F.lit(None).cast("string").alias("product_name"),
-        F.lit(None).cast("string").alias("brand"), F.lit(None).cast("string").alias("category"),
-        F.lit(None).cast("string").alias("subcategory"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        *[amounts[c].alias(c) for c in ("original_price", "sale_price")],
-        F.col("l_discount").cast("decimal(4,2)").alias("discount_pct"),
-        amounts["cost_price"].alias("cost_price"), F.lit("EUR").alias("currency"),
-    )
+    def item(tag: str, quantity: Column, amounts: dict[str, Column], discount: Column) -> Column:
+        line = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+        money = {c: amounts[c].cast(schemas.MONEY).alias(c) for c in WRAPPING}
+        return F.struct(
+            F.concat(line, F.lit(tag)).alias("line_item_id"),
+            text("l_partkey").alias("product_id"), text("l_suppkey").alias("sku"),
+            F.lit(None).cast("string").alias("product_name"),
+            F.lit(None).cast("string").alias("brand"),
+            F.lit(None).cast("string").alias("category"),
+            F.lit(None).cast("string").alias("subcategory"),
+            quantity.cast("int").alias("quantity"),
+            money["original_price"], money["sale_price"],
+            discount.cast("decimal(4,2)").alias("discount_pct"),
+            money["cost_price"], F.lit("EUR").alias("currency"),
+        )
+
+    goods = item("", F.col("l_quantity"), _line_amounts(), F.col("l_discount"))
+    wrapping = item("-wrap", F.lit(1), {c: F.lit(v) for c, v in WRAPPING.items()}, F.lit("0"))
     customer = F.struct(
         text("o_custkey").alias("customer_id"), text("c_nationkey").alias("country_code"),
         F.lit(None).cast("string").alias("country"), F.lit(None).cast("string").alias("city"),
@@ -197,7 +207,7 @@ def order_documents(star: StarSchema) -> DataFrame:
         text("o_orderkey").alias("order_id"), _moment("o_orderdate").alias("created_at"),
         F.col("o_orderpriority").alias("channel"), order_status().alias("order_status"),
         text("c_nationkey").alias("shipping_country"), customer.alias("customer"),
-        F.when(F.col("l_orderkey").isNotNull(), F.array(item)).otherwise(F.array())
+        F.when(F.col("l_orderkey").isNotNull(), F.array(goods, wrapping)).otherwise(F.array())
         .alias("items"),
         F.trunc(_order_day(), "month").alias(raw_zone.ORDERS_DAY),
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillwork import session
-from tillwork.operators.dedup import newest_delivery
+from tillwork.operators.dedup import deduplicate, newest_delivery
 from tillwork.streaming.landing import BATCH, append_batch, run_batches
 
 
@@ -17,7 +17,7 @@ def drop_redelivered(
     """Rows whose keys did not arrive before, as long as copies come within ``delay``.
 
     The first arrival stays, whereas staging keeps the last: this is a preview of
-    what staging settles. Copies of one key are first thinned out in ``salts``
+    what staging settles. Rows behind the watermark are left out; ``late_rows`` finds them. Copies of one key are first thinned out in ``salts``
     places, by the input they come from, so a key that makes up much of the stream
     is not sent to one task whole; ``salts=1`` saves that step and its state.
     """
@@ -30,6 +30,23 @@ def drop_redelivered(
     return marked.dropDuplicatesWithinWatermark(list(keys))
 
 
+def late_rows(arrived: DataFrame, kept: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose keys a deduplicating stream left out as too late, once each.
+
+    ``arrived`` is the table the stream has read and ``kept`` the one it wrote, so rows kept and late
+    rows together are every key that arrived. Keep them beside the stream's table until staging
+    has settled the days they belong to; filter both sides to those days.
+    """
+    key = [F.col(k) for k in keys]
+    mine, theirs = arrived.alias("a"), kept.select(*key).alias("k")
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"a.{k}").eqNullSafe(F.col(f"k.{k}"))
+    missing = mine.join(theirs, same, "left_anti")
+    # copies of a late key are thinned out per task before the shuffle
+    return deduplicate(missing, list(keys), [F.col(c) for c in arrived.columns if c not in keys])
+
+
 def weekly_windows(
     stream: DataFrame, moment: str, keys: Sequence[str], measures: Sequence,
     delay: str = "14 days",
