@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
 from functools import lru_cache
 
 import pyarrow as pa
@@ -56,25 +57,39 @@ LETTERS = (
 
 _WORD = r"[^\W\d_]+"
 _TITLE = "|".join(sorted({t for names in TITLES.values() for t in names}, key=len, reverse=True))
-_NAME = rf"(?:[^\W\d_a-zа-яα-ω][^\W\d_]+)(?:[ -][^\W\d_a-zа-яα-ω][^\W\d_]+){{0,2}}"
+_CAPITAL = r"[^\W\d_a-zа-яα-ω]"
+_PART = rf"{_CAPITAL}(?:[^\W\d_]+(?:['’][^\W\d_]{{2,}})*|['’][^\W\d_]{{2,}})"
+_INITIALS = rf"(?:{_CAPITAL}(?:\. ?(?={_CAPITAL})| (?={_CAPITAL})))*"
+_NAME = rf"{_INITIALS}(?:{_PART}(?:[ -]{_INITIALS}{_PART}){{0,2}}|{_CAPITAL}\.)"
+_KEYWORD = (r"(?:token|passw(?:or)?d|passphrase|pwd|secret|credentials?"
+            r"|(?:api|access|account|auth|client|encryption|master|private|shared|signing)[_-]?key)"
+            r"(?:[_-]?(?:key|id|value|hash|token|secret|password|string|prod|dev|test|\d+))*")
+# to white space, but not into a further assignment, a quote around the whole, or punctuation behind it
+_BARE = r"""(?:(?![&;,]\s?[\w-]+=|["'](?:\W|$)|</)\S){6,}(?<![.,;:)\]}])"""
 PATTERNS = {
     "email": r"(?<![\w.+-])[\w.+-]+@[\w-]+(?:\.[\w-]+)+",
-    "secret": r"(?i:\b(?:token|password|passwd|pwd|secret|api[_-]?key|access[_-]?key)\b\"?\s{0,3}[:=]\s{0,3}[\"']?)"
-              r"(?P<secret_value>[A-Za-z0-9+/_\-]{6,})",
+    "secret": rf"(?i:{_KEYWORD})" r"""\\?["']?\s{0,3}(?::=|=>|={1,3}|:)\s{0,3}"""
+              r"""(?:"(?P<secret_double>(?:[^"\\\n]|\\.){6,})"|'(?P<secret_single>(?:[^'\\\n]|\\.){6,})'"""
+              rf"""|["']?(?P<secret_value>{_BARE}))""",
     "key": r"\b(?:AKIA|ASIA)(?P<key_value>[A-Z0-9]{16})\b|\bgh[pousr]_(?P<hub_value>[A-Za-z0-9]{36})\b",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)",
     "card": r"(?<![\d+-])\d(?:[ -]?\d){12,18}(?![\d-]*\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![\w])",
+    "phone": r"(?<![\w.+])(?:(?:\+|00(?=[1-9]))\d(?:[ ./()-]{0,2}\d){7,14}"  # with a country code, grouped in any way
+             r"|(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}"
+             r"|0[1-9](?P<phone_by>[ .-]?)\d\d(?:(?P=phone_by)\d\d){3}|\d{3}(?P<phone_gap>[ .-])\d\d(?:(?P=phone_gap)\d\d){2})"
+             r"(?!\w)",
     "name": rf"\b(?P<title>{_TITLE})\.? (?P<name_value>{_NAME})",
 }
 ENTITY = re.compile("|".join(f"(?P<{k}>{p})" for k, p in PATTERNS.items()))
 #: A text without any of these holds no entity.
-HINT = re.compile(rf"[\d@]|(?:{_TITLE})\.? |(?i:token|passw|pwd|secret|key)")
-_WHOLE = {"secret": ("secret_value",), "key": ("key_value", "hub_value"), "name": ("name_value",)}
+HINT = re.compile(rf"[\d@]|(?:{_TITLE})\.? |(?i:token|pass|pwd|secret|credential|key)|AKIA|ASIA|gh[pousr]_")
+_WHOLE = {"secret": ("secret_double", "secret_single", "secret_value"), "key": ("key_value", "hub_value"), "name": ("name_value",)}
 
 ROUNDS = 8
+#: Characters exchanged as one number; longer values are several.
+BLOCK = 256
 
 
 def permute(key: bytes, domain: str, number: int, size: int) -> int:
@@ -106,31 +121,70 @@ def _alphabet() -> dict[str, tuple[str, int]]:
     return out
 
 
+def _turns(c: str) -> bool:
+    """Whether a letter's other case is one letter that leads back."""
+    other = c.swapcase()
+    return other != c and len(other) == 1 and other.swapcase() == c
+
+
+def _low(text: str) -> str:
+    """Lower case of the same length from which the case can be given back."""
+    return text.lower() if text.isascii() else "".join(c.lower() if c.isupper() and _turns(c) else c for c in text)
+
+
+def _cased(text: str, like: str) -> str:
+    return "".join(c.upper() if o.isupper() and _turns(o) else c for c, o in zip(text, like))
+
+
+@lru_cache(1 << 12)
+def _others(c: str) -> str:
+    """Letters and digits of the kind of ``c`` in its row of the code table, where ``LETTERS`` has none."""
+    row = (chr(i) for i in range(ord(c) & ~255, (ord(c) | 255) + 1))
+    return "".join(x for x in row if x.isalnum() and x not in _alphabet() and _turns(x) == _turns(c)
+                   and unicodedata.category(x) == unicodedata.category(c))
+
+
+def _place(c: str) -> tuple[str, int] | None:
+    """The class of an exchangeable character and its place there."""
+    found = _alphabet().get(c)
+    if found is None and c.isalnum():
+        letters = _others(c)
+        found = (letters, letters.index(c)) if len(letters) > 1 else None
+    return found
+
+
 def _exchange(key: bytes, kind: str, text: str, fixed: int = 0, classes=None) -> str:
     """Replace every letter and digit of ``text`` but the first ``fixed`` within its class, as one number."""
-    pick = classes or _alphabet().get
-    form, number, size, slots = [], 0, 1, []
+    pick = classes or _place
+    form, slots = [], []
     for i, c in enumerate(text):
         found = pick(c) if i >= fixed else None
         if found is None:
             form.append(c)
         else:
-            letters, place = found
-            form.append(f"\x00{letters[0]}{len(letters)}")
+            form.append(f"\x00{found[0][0]}{len(found[0])}")
+            slots.append((i, *found))
+    domain, out = kind + "".join(form), list(text)
+    if len(slots) > BLOCK:
+        domain = hashlib.sha256(domain.encode("utf-8", "surrogatepass")).hexdigest()
+    for at in range(0, len(slots), BLOCK):  # one number each; what came before says which permutation
+        number, size, some = 0, 1, slots[at:at + BLOCK]
+        for _, letters, place in some:
             number, size = number * len(letters) + place, size * len(letters)
-            slots.append((i, letters))
-    image = permute(key, kind + "".join(form), number, size)
-    out = list(text)
-    for i, letters in reversed(slots):
-        image, place = divmod(image, len(letters))
-        out[i] = letters[place]
+        image = permute(key, domain, number, size)
+        for i, letters, _ in reversed(some):
+            image, place = divmod(image, len(letters))
+            out[i] = letters[place]
+        if at + BLOCK < len(slots):
+            whole = number.to_bytes((size.bit_length() + 7) // 8, "big")
+            domain = hashlib.sha256(domain.encode() + whole).hexdigest()
     return "".join(out)
 
 
 def _fill(shape: str, digits: str) -> str:
-    """``digits`` in place of the digits of ``shape``."""
+    """``digits`` in place of the digits of ``shape``, in its script."""
     rest = iter(digits)
-    return "".join(next(rest) if c in "0123456789" else c for c in shape)
+    return "".join(chr(ord(c) - unicodedata.decimal(c) + int(next(rest))) if c.isdecimal() else c for c in shape)
 
 
 def _check_digit(body: str) -> str:
@@ -142,7 +196,7 @@ def _check_digit(body: str) -> str:
 
 
 def _digits(value: str) -> str:
-    return "".join(c for c in value if c in "0123456789")
+    return "".join(str(unicodedata.decimal(c)) for c in value if c.isdecimal())
 
 
 def _card(key: bytes, value: str) -> str:
@@ -174,29 +228,45 @@ def _ip(key: bytes, value: str) -> str:
             return ".".join(map(str, image))
 
 
+_COUNTRY = re.compile(r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}")
+
+
 def _phone(key: bytes, value: str) -> str:
-    country = re.match(r"\+\d{1,3}(?=[ .(-])", value)
-    head = country.group() if country else ""
-    digits = _digits(value[len(head):])
-    return head + _fill(value[len(head):], digits[:1] + _exchange(key, f"phone {head}", digits[1:]))
+    """Country code and the digit behind it kept, however the number is grouped."""
+    digits = _digits(value)
+    abroad = 0 if value[0] == "+" else 2 if digits.startswith("00") else None
+    code = _COUNTRY.match(digits, abroad).group() if abroad is not None else ""
+    head = (abroad or 0) + len(code)
+    rest = _exchange(key, f"phone +{code}" if code else "phone ", digits[head + 1:])
+    return _fill(value, digits[:head + 1] + rest)
 
 
 def _email(key: bytes, value: str) -> str:
-    local, _, domain = value.lower().rpartition("@")
+    local, _, domain = _low(value).rpartition("@")
     *labels, top = domain.split(".")
     new = ".".join([_exchange(key, "domain", ".".join(labels)), top])
-    out = _exchange(key, f"mail of {domain}", local) + "@" + new
-    return "".join(c.upper() if o.isupper() else c for c, o in zip(out, value))
+    return _cased(_exchange(key, f"mail of {domain}", local) + "@" + new, value)
+
+
+_PLAIN = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+
+
+def _letters(value: str) -> str:
+    """What the digits and plain letters of a secret are taken from."""
+    upper = value.upper() == value
+    if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", value):
+        return "0123456789ABCDEF" if upper else "0123456789abcdef"
+    return _PLAIN[:36] if upper else _PLAIN
 
 
 def _secret(key: bytes, value: str) -> str:
-    hexadecimal = re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", value)
-    if hexadecimal:
-        letters = "0123456789ABCDEF" if value.upper() == value else "0123456789abcdef"
-        return _exchange(key, "hex", value, 0, lambda c: (letters, letters.index(c)))
-    plain = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
-    upper = plain[:36] if value.upper() == value else plain
-    return _exchange(key, "secret", value, 0, lambda c: (upper, upper.index(c)) if c in upper else None)
+    letters, image = _letters(value), value
+    kind = "hex" if len(letters) == 16 else "secret"
+    while True:  # stays among the secrets of its alphabet
+        image = _exchange(key, kind, image, 0,
+                          lambda c: (letters, letters.index(c)) if c in letters else None if c.isascii() else _place(c))
+        if _letters(image) == letters:
+            return image
 
 
 def _name(key: bytes, value: str) -> str:
@@ -206,10 +276,10 @@ def _name(key: bytes, value: str) -> str:
         for (script, sex), names in GIVEN.items():
             if word in names:
                 return names[permute(key, f"given {script} {sex}", names.index(word), len(names))]
-        image = word
+        image, keep = word, min(1, len(word) - 1)  # of an initial nothing stays
         while True:  # never one of the listed given names, which have surrogates of their own
-            body = _exchange(key, f"name {word[-1]}", image[:-1].lower()) + word[-1]
-            image = "".join(c.upper() if o.isupper() else c for c, o in zip(body, word))
+            end = word[len(word) - keep:]
+            image = _cased(_exchange(key, f"name {end}", _low(image[:len(word) - keep])) + end, word)
             if not any(image in names for names in GIVEN.values()):
                 return image
 
@@ -232,8 +302,13 @@ MAKERS = {
     "ssn": lambda key, value: _fill(value, _exchange(key, "ssn", _digits(value))),
     "phone": _phone, "name": _name,
 }
-_CANONICAL = {"email": str.lower, "card": _digits, "ssn": _digits, "iban": lambda v: v.replace(" ", ""),
-              "phone": lambda v: ("+" if v[0] == "+" else "") + _digits(v)}
+_CANONICAL = {"email": _low, "card": _digits, "ssn": _digits, "iban": lambda v: v.replace(" ", ""),
+              "phone": lambda v: "+" + _digits(v) if v[0] == "+" else re.sub("^00", "+", _digits(v))}
+
+
+def _movable(kind: str, value: str) -> bool:
+    """Whether anything can be exchanged: a row of dots or stars is no entity."""
+    return any(_place(c) for c in (value.rpartition(".")[0] if kind == "email" else value))
 
 
 def find(text: str) -> list[tuple[int, int, str, str]]:
@@ -244,7 +319,8 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     for m in ENTITY.finditer(text):
         kind = next(k for k in PATTERNS if m.group(k) is not None)
         group = next((g for g in _WHOLE.get(kind, ()) if m.group(g) is not None), kind)
-        out.append((m.start(group), m.end(group), kind, m.group(group)))
+        if _movable(kind, m.group(group)):
+            out.append((m.start(group), m.end(group), kind, m.group(group)))
     return out
 
 
