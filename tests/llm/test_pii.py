@@ -145,3 +145,25 @@ def test_long_values_are_exchanged_in_pieces():
     one, other = "a1" * 100_000, "a1" * 99_999 + "b1"
     new = [only(f"token={v}!")[6:-1] for v in (one, other)]
     assert new[0] != new[1] and all(len(n) == len(one) for n in new)
+
+
+def test_no_value_is_its_own_surrogate(spark):
+    for size in (2, 3, 4, 5, 8, 20, 105, 1000):
+        assert all(pii.permute(key, "x", i, size) != i for i in range(size) for key in (KEY, b"other", b"third"))
+    names = {n for listed in pii.GIVEN.values() for n in listed}
+    short = {a + b for a in "AEIOUBCDFGXYZ" for b in "aeioubcdz"} | {"Eve", "Ann", "Ada", "Ian", "Ева", "李明"}
+    for name in names | short | {"J"}:
+        assert pii.surrogate(KEY, "name", name) != name
+    for kind, value in (("email", "a@b.de"), ("card", "4111111111111111"), ("card", "4111111111111112"),
+                        ("ip", "10.0.0.3"), ("secret", "aaaaaa"), ("secret", "!!!!!1"), ("phone", "+4915112345678")):
+        assert pii.surrogate(KEY, kind, value) != value
+    bad = spark.createDataFrame([("name", "John", "John", 2), ("name", "Paul", "Adam", 1)],
+                                "kind string, value string, surrogate string, mentions long")
+    assert [r.what for r in pii.collisions(bad).collect()] == ["John"]
+
+
+def test_every_mention_is_replaced(documents):
+    for r in documents.collect():
+        new, marks = pii.rewrite(KEY, r.text)
+        for (_, _, kind, value), (_, at) in zip(pii.find(r.text), marks, strict=True):
+            assert new[at:at + len(value)] != value, (kind, value)

@@ -5,12 +5,12 @@ numbers, access keys, secrets in assignments, and names after a title). A value
 read as digits of mixed bases by its format: digits stay digits, letters stay letters of
 their script and case, vowels stay vowels, given names are exchanged within the list of their
 script and gender, and separators, country codes, card issuers and name endings stay. The
-surrogate is the value's image under a keyed permutation of all values of that
-format (a Feistel network over HMAC, walked until it lands inside), so different values get
-different surrogates and the same value always gets the same, in every document and on
+surrogate is the value's successor in a keyed order of all values of that
+format (a Feistel network over HMAC, walked until it lands inside), so no value is its own surrogate,
+different values get different surrogates and the same value always gets the same, in every document and on
 every executor, without a table of replacements. Card numbers keep a valid check
 digit and addresses stay public or private. ``check_distinct`` proves it for a corpus: it counts
-the values per surrogate over all entities found.
+the values per surrogate over all entities found, and those that stayed as they were.
 
 Null texts stay null, texts without entities come back unchanged. Rows are rewritten
 one by one, so repeated rows stay equal.
@@ -41,14 +41,35 @@ TITLES = {
     ("greek", "m"): ("κύριος", "Κύριος"),
 }
 GIVEN = {
-    ("latin", "f"): ("Alice", "Anna", "Barbara", "Carmen", "Clara", "Diana", "Elena", "Emma", "Eva", "Helen",
-                     "Ines", "Julia", "Laura", "Lucia", "Maria", "Marie", "Mary", "Nina", "Paula", "Sarah"),
-    ("latin", "m"): ("Adam", "Albert", "Carlos", "David", "Erik", "Felix", "Georg", "Hans", "Ivan", "James",
-                     "John", "Jorge", "Karl", "Louis", "Martin", "Michael", "Paul", "Peter", "Robert", "Thomas"),
-    ("cyrillic", "f"): ("Анна", "Вера", "Елена", "Ирина", "Мария", "Нина", "Ольга", "Татьяна"),
-    ("cyrillic", "m"): ("Андрей", "Борис", "Иван", "Николай", "Олег", "Павел", "Пётр", "Сергей"),
-    ("greek", "f"): ("Άννα", "Ελένη", "Ειρήνη", "Μαρία"),
-    ("greek", "m"): ("Γιώργος", "Κώστας", "Νίκος", "Πέτρος"),
+    ("latin", "f"): (
+        "Agnes", "Alice", "Amanda", "Ana", "Andrea", "Angela", "Anna", "Anne", "Barbara", "Beatrice", "Bianca", "Brigitte",
+        "Camille", "Carla", "Carmen", "Caroline", "Catherine", "Cecilia", "Charlotte", "Chiara", "Christine", "Clara",
+        "Claire", "Cristina", "Diana", "Dorothy", "Elena", "Elisabeth", "Elizabeth", "Emily", "Emma", "Eva", "Francesca",
+        "Frida", "Greta", "Hannah", "Helen", "Ines", "Ingrid", "Isabel", "Jane", "Jennifer", "Julia", "Karen", "Katharina",
+        "Laura", "Linda", "Lucia", "Margaret", "Maria", "Marie", "Marta", "Martha", "Mary", "Monika", "Nina", "Olivia",
+        "Patricia", "Paula", "Rachel", "Rosa", "Ruth", "Sabine", "Sarah", "Silvia", "Sofia", "Susan", "Teresa"),
+    ("latin", "m"): (
+        "Adam", "Albert", "Alexander", "Andrew", "Anthony", "Antonio", "Arthur", "Benjamin", "Bernard", "Carlos",
+        "Charles", "Christian", "Daniel", "David", "Diego", "Edward", "Emil", "Erik", "Fabian", "Felix", "Fernando",
+        "Francisco", "Frank", "Frederic", "Georg", "George", "Giovanni", "Hans", "Henry", "Hugo", "Ivan", "Jacob",
+        "James", "Javier", "John", "Jorge", "Joseph", "Juan", "Karl", "Klaus", "Louis", "Luca", "Luis", "Manuel",
+        "Marco", "Mark", "Martin", "Matthew", "Max", "Michael", "Miguel", "Nicolas", "Oliver", "Oscar", "Pablo",
+        "Patrick", "Paul", "Pedro", "Peter", "Philip", "Pierre", "Rafael", "Richard", "Robert", "Samuel", "Stefan",
+        "Steven", "Thomas", "Victor", "Walter", "William"),
+    ("cyrillic", "f"): (
+        "Александра", "Алина", "Анастасия", "Анна", "Валентина", "Варвара", "Вера", "Виктория", "Галина", "Дарья",
+        "Екатерина", "Елена", "Ирина", "Ксения", "Лариса", "Людмила", "Марина", "Мария", "Надежда", "Наталья", "Нина",
+        "Оксана", "Ольга", "Полина", "Светлана", "София", "Тамара", "Татьяна", "Юлия"),
+    ("cyrillic", "m"): (
+        "Александр", "Алексей", "Анатолий", "Андрей", "Антон", "Борис", "Вадим", "Василий", "Виктор", "Владимир",
+        "Георгий", "Григорий", "Дмитрий", "Евгений", "Иван", "Игорь", "Илья", "Кирилл", "Константин", "Максим",
+        "Михаил", "Николай", "Олег", "Павел", "Пётр", "Роман", "Сергей", "Степан", "Фёдор", "Юрий"),
+    ("greek", "f"): (
+        "Άννα", "Αγγελική", "Αικατερίνη", "Αλεξάνδρα", "Βασιλική", "Γεωργία", "Δήμητρα", "Ελένη", "Ειρήνη", "Ευαγγελία",
+        "Ιωάννα", "Κωνσταντίνα", "Μαρία", "Παναγιώτα", "Σοφία", "Χριστίνα"),
+    ("greek", "m"): (
+        "Αθανάσιος", "Αλέξανδρος", "Ανδρέας", "Αντώνης", "Βασίλης", "Γιάννης", "Γιώργος", "Δημήτρης", "Κώστας",
+        "Μιχάλης", "Νίκος", "Παναγιώτης", "Παύλος", "Πέτρος", "Σπύρος", "Χρήστος"),
 }
 LETTERS = (
     "aeiou", "bcdfghjklmnpqrstvwxyz", "áéíóú", "àèìòù", "äöü",
@@ -92,25 +113,38 @@ ROUNDS = 8
 BLOCK = 256
 
 
-def permute(key: bytes, domain: str, number: int, size: int) -> int:
-    """The image of ``number`` under a keyed permutation of ``range(size)``."""
-    if size <= 1:
-        return number
+def _walk(key: bytes, domain: str, number: int, size: int, turns) -> int:
+    """Feistel rounds, walked until they land in ``range(size)``; backwards if ``turns`` are."""
     half = max(1, ((size - 1).bit_length() + 1) // 2)
     mask, wide = (1 << half) - 1, (half + 7) // 8
+    head = f"{domain}|".encode("utf-8", "surrogatepass")
+    forth = turns[0] == 0
     while True:
         left, right = number >> half, number & mask
-        for turn in range(ROUNDS):
-            message = f"{domain}|{turn}|".encode("utf-8", "surrogatepass") + right.to_bytes(wide, "big")
+        for turn in turns:
+            seen = right if forth else left
+            message = b"%b%d|%b" % (head, turn, seen.to_bytes(wide, "big"))
             block = hmac.digest(key, message, hashlib.sha256)
             while len(block) < wide:
                 block += hmac.digest(key, block, hashlib.sha256)
-            left, right = right, left ^ (int.from_bytes(block[:wide], "big") & mask)
+            mixed = int.from_bytes(block[:wide], "big") & mask
+            left, right = (right, left ^ mixed) if forth else (right ^ mixed, left)
         number = left << half | right
         if number < size:
             return number
 
 
+def permute(key: bytes, domain: str, number: int, size: int) -> int:
+    """The image of ``number`` under a keyed permutation of ``range(size)`` that is one cycle.
+
+    Each number becomes its successor in a keyed order, so none is its own image.
+    """
+    if size <= 1:
+        return number
+    place = _walk(key, domain, number, size, range(ROUNDS))
+    return _walk(key, domain, (place + 1) % size, size, range(ROUNDS - 1, -1, -1))
+
+
 @lru_cache(1)
 def _alphabet() -> dict[str, tuple[str, int]]:
     """Each exchangeable character with its class and its place there."""
@@ -369,17 +403,18 @@ def entities(docs: DataFrame, key: bytes) -> DataFrame:
 
 
 def collisions(found: DataFrame) -> DataFrame:
-    """Surrogates that stand for several values, and values with several surrogates."""
+    """Surrogates that stand for several values, values with several surrogates, and values that are their own."""
     by = lambda one, other: found.groupBy("kind", one).agg(
         F.count_distinct(other).alias("n")).filter("n > 1").select("kind", F.col(one).alias("what"), "n")
-    return by("surrogate", "value").unionByName(by("value", "surrogate"))
+    same = found.filter("value = surrogate").select("kind", F.col("value").alias("what"), F.lit(1).cast("long").alias("n"))
+    return by("surrogate", "value").unionByName(by("value", "surrogate")).unionByName(same)
 
 
 def check_distinct(docs: DataFrame, key: bytes) -> None:
-    """Raise if surrogates of these documents lose distinctness or coreference."""
+    """Raise if surrogates of these documents lose distinctness or coreference, or equal their values."""
     bad = collisions(session.materialise(entities(docs, key))).count()
     if bad:
-        raise ValueError(f"{bad} surrogates are not one to one")
+        raise ValueError(f"{bad} surrogates are not one to one or equal their values")
 
 
 def replace(docs: DataFrame, key: bytes) -> DataFrame:
