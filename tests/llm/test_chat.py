@@ -81,3 +81,29 @@ def test_empty_and_native(spark):
     out = chat.digests(chat.assemble(chat.as_payloads(df)))
     assert out.count() == 0
     assert not re.search("Python|Arrow|Pandas", out._jdf.queryExecution().toString())
+
+
+def test_very_long_text_keeps_all_turns(spark):
+    check(spark, [(1, 0, "user", "short"), (1, 1, "assistant", "w " * 10_500_000), (1, 2, "user", "\\\"last\n")])
+
+
+def test_payloads_are_bounded_by_turns_and_bytes(spark):
+    rows = [(c, 0, "user", f"{i:03d}" + HOSTILE[i % len(HOSTILE)]) for c in (1, 2) for i in range(150)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    by_turns = chat.as_payloads(df)
+    assert by_turns.groupBy("conv_id").count().filter("count = 3").count() == 2
+    by_bytes = chat.as_payloads(df, most_bytes=300)
+    assert by_bytes.count() == 300
+    one, other = (sorted(chat.digests(chat.assemble(p)).collect()) for p in (by_turns, by_bytes))
+    assert one == other and [(r.n_turns, r.unmapped) for r in one] == [(150, False)] * 2
+
+
+def test_texts_do_not_change_the_fingerprint(spark):
+    texts = ["", 'a": "b', '{"x": [1]}', "\\", "\\\"", "é \x01", ": :"]
+    good = [json.dumps({"prompt": t, "response": t}) for t in texts]
+    bad = ['{"prompt": "a\nb", "response": "c"}', '{"prompt": "a\\x", "response": "c"}', '{"prompt": "a, "response": "c"}',
+           '{"prompt": "a" "b", "response": "c"}', '{"prompt": "a", "response": "c"']
+    df = spark.createDataFrame([(p,) for p in good + bad], "payload string")
+    rows = chat.canonical(df).collect()
+    assert [r.layout for r in rows] == ["prompt"] * len(good) + [None] * len(bad)
+    assert [r.turns[1].text for r in rows[:len(good)]] == texts

@@ -12,7 +12,8 @@ mask marks the texts of assistant turns.
 
 A null text counts as empty, a null role as the empty role. Rows of a conversation are
 ordered by turn, then role, then text; repeated rows are turns of their own. A payload
-that isn't JSON has no layout. Empty tables give no conversations.
+that isn't JSON has no layout. Texts may have any length: the layout is found with empty texts, since
+parsing to a variant is limited to strings of 20 million characters and 128 MiB. Empty tables give no conversations.
 """
 
 from __future__ import annotations
@@ -25,6 +26,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 START, END = "<|im_start|>", "<|im_end|>"
 #: Turns of a stored payload; longer conversations are stored as several.
 PAYLOAD_TURNS = 64
+#: Bytes of the texts and roles of a stored payload; above that each turn is a payload of its own.
+PAYLOAD_BYTES = 1 << 25
+#: Texts are read at any length; a payload of a known layout that cannot be read is an error.
+READING = {"maxStringLen": str((1 << 31) - 1), "mode": "FAILFAST"}
 LEARNED_ROLE = "assistant"
 
 
@@ -79,9 +84,14 @@ def _shape(paths: list[str]) -> str:
     return show(tree)
 
 
+#: A field name with its colon, or the quotes around another string of valid JSON.
+_CONTENT = r'(?:[^"\\\x00-\x1f]++|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*+'
+_STRINGS = rf'("{_CONTENT}"\s*+:)|("){_CONTENT}(")'
+
+
 def shape(payload: Column) -> Column:
     """The nested field paths of a JSON payload; null if it isn't JSON."""
-    schema = F.schema_of_variant(F.try_parse_json(payload))
+    schema = F.schema_of_variant(F.try_parse_json(F.regexp_replace(payload, _STRINGS, "$1$2$3")))
     return F.regexp_replace(schema, r"(?<=: |<|^)(?!OBJECT<|ARRAY<)[A-Z]+(\(\d+, ?\d+\))?(?=,|>|$)", "_")
 
 
@@ -115,7 +125,7 @@ TURNS = "array<struct<role:string,text:string>>"
 
 def _converted(payload: Column, mapping: Mapping) -> Column:
     """Canonical turns of a payload in this mapping's layout."""
-    value = F.from_json(payload, _ddl(mapping.path_sets()[-1]))
+    value = F.from_json(payload, _ddl(mapping.path_sets()[-1]), READING)
     if mapping.turns:
         def turn(x):
             role = _steps(x, mapping.role)
@@ -188,13 +198,20 @@ def assemble(payloads: DataFrame) -> DataFrame:
     return parts.select("conv_id", "unmapped", segments(turns).alias("segments"))
 
 
-def as_payloads(conversations: DataFrame, size: int = PAYLOAD_TURNS) -> DataFrame:
-    """Rows by turn as JSON payloads of every layout that can hold them, ``size`` turns each."""
+def as_payloads(conversations: DataFrame, size: int = PAYLOAD_TURNS, most_bytes: int = PAYLOAD_BYTES) -> DataFrame:
+    """Rows by turn as JSON payloads of every layout that can hold them, at most ``size`` turns and,
+    unless it is a single turn, ``most_bytes`` each."""
     rows = conversations.select(
         "conv_id", F.floor(F.coalesce(F.col("turn"), F.lit(-1)) / size).alias("part"),
         F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"),
                  F.coalesce("text", F.lit("")).alias("text")).alias("t"))
-    parts = rows.groupBy("conv_id", "part").agg(F.array_sort(F.collect_list("t")).alias("t"))
+    all_bytes = F.sum(F.octet_length("t.role").cast("long") + F.octet_length("t.text"))
+    whole = rows.groupBy("conv_id", "part").agg(
+        F.array_sort(F.collect_list("t")).alias("t"), F.when(all_bytes > most_bytes, 1).otherwise(size).alias("per"))
+    cuts = F.transform(F.sequence(F.lit(0), F.floor((F.size("t") - 1) / F.col("per")).cast("int")),
+                       lambda i: F.struct(i.alias("no"), F.slice("t", i * F.col("per") + 1, F.col("per")).alias("t")))
+    parts = whole.select("conv_id", "part", F.explode(cuts).alias("cut")) \
+        .select("conv_id", F.struct("part", "cut.no").alias("part"), "cut.t")
     role = lambda i: F.get("t", F.lit(i))["role"]
     text = lambda i: F.get("t", F.lit(i))["text"]
     n, pick = F.size("t"), F.abs(F.xxhash64("conv_id", "part")) % 3
