@@ -85,3 +85,42 @@ def test_records_are_laid_out(spark):
         F.col("url"), F.col("html"), F.col("page_id")).alias("r")).first().r
     head, _, body = bytes(record).partition(b"\r\n\r\n")
     assert head.startswith(b"WARC/1.1\r\n") and b"Content-Length: 4" in head and body == b"text\r\n\r\n"
+
+
+def told_by_id(spark, change, **options):
+    """What is found wrong when records carry ids, as id: state, after ``change`` of the list of (id, text, length)."""
+    sides = []
+    for files in ({f: [(i, f"{f}/{i}", 100 + i % 5 * 10) for i in range(n)] for f, n in FILES.items()},) * 2:
+        rows = []
+        for f, records in files.items():
+            at = 0
+            for i, text, length in change(f, list(records)) if sides else records:
+                rows.append((f, at, length, hashlib.sha256(text.encode()).hexdigest(), i))
+                at += length
+        sides.append(rows)
+    ids = [{(r[0], r[1]): r[4] for r in side} for side in sides]
+    one, other = (spark.createDataFrame(s, SCHEMA + ", id long") for s in sides)
+    return sorted((r.file or "", ids[r.state == "extra"][r.file, r.offset], r.state)
+                  for r in fixity.audit(one, other, 500, 3, record=["id"], **options).collect())
+
+
+def test_only_damaged_records_are_named(spark):
+    def change(f, records):
+        if f == "a":
+            i, text, n = records[20]
+            records[20] = (i, text + "cut", n - 7)
+            i, text, n = records[150]
+            records[150] = (i, text + "?", n)
+            del records[60]
+            records.insert(100, (999, "new", 33))
+        return records[1:] if f == "c" else records
+    assert told_by_id(spark, change) == [
+        ("a", 20, "altered"), ("a", 60, "missing"), ("a", 150, "altered"), ("a", 999, "extra"), ("c", 0, "missing")]
+    assert told_by_id(spark, lambda f, records: records) == []
+
+
+def test_repeated_records_by_id(spark):
+    twice = lambda f, records: records[:5] + records[4:] if f == "a" else records
+    assert told_by_id(spark, twice) == [("a", 4, "extra")]
+    swapped = lambda f, records: [records[1], records[0], *records[2:]] if f == "a" else records
+    assert told_by_id(spark, swapped) == []

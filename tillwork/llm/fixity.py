@@ -154,9 +154,40 @@ def differing_leaves(one: Tree, other: Tree, numbers: DataFrame, fanout: int = F
     return nodes
 
 
-def audit(original: DataFrame, replica: DataFrame, leaf_bytes: int = LEAF_BYTES, fanout: int = FANOUT
-          ) -> DataFrame:
-    """``file``, ``offset`` and ``state`` (altered, missing, extra) of every record the replica has wrong."""
+def _beside(rows: DataFrame, by: list[str]) -> DataFrame:
+    """The k-th record of each ``by`` on one side in a row with the k-th on the other."""
+    nth = Window.partitionBy(*by, "side").orderBy("offset", "length", "digest", "copy")
+    place = F.struct("offset", "length", "digest", "copy")
+    return rows.withColumn("nth", F.row_number().over(nth)).groupBy(*by, "nth").agg(
+        F.max(F.when(F.col("side") == "a", place)).alias("a"), F.max(F.when(F.col("side") == "b", place)).alias("b"))
+
+
+def _damaged(rows: DataFrame, record: list[str]) -> DataFrame:
+    """What is wrong among the records of differing leaves, with records told by ``record`` where lengths moved them."""
+    at = ["file", *record, "offset", "length", "digest"]
+    n = F.sum(F.when(F.col("side") == "a", 1).otherwise(-1))
+    moved = rows.groupBy(*at).agg(n.alias("n")).filter("n <> 0").select(
+        *at, F.when(F.col("n") > 0, "a").otherwise("b").alias("side"),
+        F.explode(F.sequence(F.lit(1), F.abs("n").cast("int"))).alias("copy"))
+    content = ["file", *record, "length", "digest"]
+    # a record that is on both sides with all its bytes is intact, wherever it begins
+    alone = _beside(session.materialise(moved), content).filter(F.col("a").isNull() | F.col("b").isNull()) \
+        .select("file", *record, F.inline(F.array(F.struct(
+            F.when(F.col("a").isNotNull(), "a").otherwise("b").alias("side"),
+            *[F.coalesce(F.col("a")[c], F.col("b")[c]).alias(c) for c in ("offset", "length", "digest", "copy")]))))
+    state = F.when(F.col("b").isNull(), "missing").when(F.col("a").isNull(), "extra").otherwise("altered")
+    return _beside(alone, ["file", *record]).select(
+        "file", F.coalesce("a.offset", "b.offset").alias("offset"), state.alias("state"))
+
+
+def audit(original: DataFrame, replica: DataFrame, leaf_bytes: int = LEAF_BYTES, fanout: int = FANOUT,
+          record: list[str] | None = None) -> DataFrame:
+    """``file``, ``offset`` and ``state`` (altered, missing, extra) of every record the replica has wrong.
+
+    Records are told by their offsets, so one of another length makes those behind it missing and extra.
+    With ``record``, the columns of a record's id, only the damaged ones are named, by their offsets in the original
+    (extra ones by those in the replica): intact records that others have shifted are left out.
+    """
     both = [original, replica]
     numbers, levels = file_numbers(both), shape(both, leaf_bytes, fanout)
     one, other = (build(r, numbers, levels, leaf_bytes, fanout) for r in both)
@@ -164,6 +195,10 @@ def audit(original: DataFrame, replica: DataFrame, leaf_bytes: int = LEAF_BYTES,
         .select(F.col("file").alias("of"), F.col("node").alias("leaf"))
     inside = F.col("file").eqNullSafe(F.col("of")) & (
         F.floor(F.col("offset") / leaf_bytes).cast("long") == F.col("leaf"))
+    if record is not None:
+        rows = [r.join(leaves, inside, "left_semi").select(
+            "file", *record, "offset", "length", "digest", F.lit(s).alias("side")) for s, r in zip("ab", both)]
+        return _damaged(rows[0].unionByName(rows[1]), record)
     nth = Window.partitionBy("file", "offset").orderBy("digest")
     sides = [r.join(leaves, inside, "left_semi").select("file", "offset", "length", "digest")
              .withColumn("copy", F.row_number().over(nth)).withColumn("side", F.lit(s))

@@ -44,7 +44,7 @@ def op1_fixity(spark: SparkSession, folder: str) -> DataFrame:
     sides = [fixity.laid_out(pages.withColumn("body", body),
                              fixity.warc_record(F.col("url"), F.col("body"), F.col("page_id")),
                              name, ["page_id"]) for body in (html, spoilt)]
-    return fixity.audit(*[session.materialise(s) for s in sides])
+    return fixity.audit(*[session.materialise(s) for s in sides], record=["page_id"])
 
 
 # the fixed text of a record: its header lines with the 40 digits of its id, and the breaks behind it
