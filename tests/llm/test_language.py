@@ -78,3 +78,15 @@ def test_words_of_mixed_text_get_their_own_language():
     p = language.marginals(language._emissions(words, model), words.of, model)
     assert [model.languages[i] for i in p.argmax(axis=1)] == ["one"] * 40 + ["two"] * 10
     assert language.predict_texts([text], model)[0] == ["one"]
+
+
+def test_training_sample_is_bounded(make, monkeypatch):
+    monkeypatch.setattr(language, "SEGMENTS", 40)
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 4 != 2][:5]
+    docs = make(["今日天気、" * 40_000, "x" * 300_000, "ab cd " * 50_000, "ef." * 9_000, "short one"], ids)
+    found = [s for _, s in language.training_segments(docs)]
+    assert len(found) == 40 and "short one" in found
+    assert max(map(len, found)) < language.SEGMENT_WORDS * (language.RUN_CHARS + 1)
+    assert max(len(language.Words([s])) for s in found) <= language.SEGMENT_WORDS
+    of = [sum(c in s for s in found) for c in ("今", "xx", "ab", "ef")]
+    assert sum(of) == 39 and max(of) - min(of) <= 1

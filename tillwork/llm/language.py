@@ -6,7 +6,8 @@ the next. Forward-backward gives every word's language probabilities within its
 a document's language is the one with the largest mean.
 
 Training: documents' languages label their words. From each language a bounded sample
-(``SAMPLE_DOCS`` documents by hash, ``SEGMENTS`` stretches of their words by hash) is
+(``SAMPLE_DOCS`` documents by hash, ``SEGMENTS`` stretches of ``SEGMENT_WORDS`` runs of letters, of at most
+``RUN_CHARS`` letters each, as evenly from these documents as they have them) is
 spliced into sequences, part of which switch language, so that transitions are learned from
 both. Weights are fitted on the driver, whose input is bounded by these parameters.
 
@@ -17,6 +18,9 @@ are cut into blocks whose transfer matrices are multiplied, which is exact.
 
 from __future__ import annotations
 
+import heapq
+import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +34,8 @@ from tillwork.llm.words import Words
 SAMPLE_DOCS = 300
 SEGMENTS = 1200
 SEGMENT_WORDS = 24
+#: Longer runs of letters are cut in a stretch, as in texts without white space.
+RUN_CHARS = 64
 #: Labels beyond the most frequent ones are not learned.
 MAX_LANGUAGES = 64
 LEXICON = 4000
@@ -239,6 +245,17 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
+_RUN = re.compile(rf"[^\W\d_]{{1,{RUN_CHARS}}}")
+
+
+def stretches_of(doc_id: int, text: str | None) -> list[str]:
+    """At most ``SEGMENTS`` stretches of a text, those to be taken first in front."""
+    runs = _RUN.findall(text or "")
+    begins = heapq.nsmallest(SEGMENTS, range(0, len(runs), SEGMENT_WORDS),
+                             key=lambda at: (zlib.crc32(f"{doc_id}:{at}".encode()), at))
+    return [" ".join(runs[at:at + SEGMENT_WORDS]) for at in begins]
+
+
 def training_segments(docs: DataFrame) -> list[tuple[str, str]]:
     """The bounded sample: stretches of words of documents that may be learned from."""
     key = F.xxhash64(F.col("doc_id"))
@@ -256,16 +273,15 @@ def training_segments(docs: DataFrame) -> list[tuple[str, str]]:
     def cut(batches):
         for batch, some in slices(batches):
             ids, langs = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            out = [(i, at, lang, " ".join(w[at:at + SEGMENT_WORDS]))
-                   for i, lang, text in zip(ids, langs, some) for w in [(text or "").split()]
-                   for at in range(0, len(w), SEGMENT_WORDS)]
+            out = [(i, no, lang, stretch) for i, lang, text in zip(ids, langs, some)
+                   for no, stretch in enumerate(stretches_of(i, text))]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)],
-                                                 ["doc_id", "at", "lang", "stretch"])
+                                                 ["doc_id", "nth", "lang", "stretch"])
 
     stretches = texts.select("doc_id", "text", "lang").mapInArrow(
-        cut, "doc_id long, at long, lang string, stretch string")
-    pick = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "at"), "doc_id", "at")
+        cut, "doc_id long, nth long, lang string, stretch string")
+    pick = Window.partitionBy("lang").orderBy("nth", F.xxhash64("doc_id"), "doc_id", "stretch")
     rows = stretches.withColumn("no", F.row_number().over(pick)).filter(F.col("no") <= SEGMENTS)
     return [(r.lang, r.stretch) for r in rows.select("lang", "stretch").collect()]
 
