@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from tillwork import session
 
@@ -84,10 +84,9 @@ def running_total(df: DataFrame, order: list[str], value: str, out: str) -> Data
             before = int(ends[-1]) if len(n) else before
 
     kept = session.materialise(ranged.sortWithinPartitions(*order).mapInArrow(add, schema))
-    sums = kept.groupBy(part).agg(F.sum(value).alias("n"))
-    later = sums.select(F.col(part).alias("earlier"), "n")
     # one row per range: the number of ranges is the number of shuffle partitions
-    base = (sums.select(part).join(F.broadcast(later), F.col("earlier") < F.col(part), "left")
-            .groupBy(part).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("base")))
+    earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    base = kept.groupBy(part).agg(F.sum(value).alias("n")).select(
+        part, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
     return (kept.join(F.broadcast(base), part)
             .withColumn(out, F.col("base") + F.col(within)).drop(part, within, "base"))

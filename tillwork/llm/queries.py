@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillwork import session
 from tillwork.llm import (
-    chat, decontam, fixity, frames, language, packing, pii, repetition, simhash, toxicity,
+    chat, decontam, fixity, frames, language, lexical, packing, pii, repair, repetition, sharding,
+    simhash, toxicity,
 )
 from tillwork.llm.common import ship, table
 
@@ -141,6 +142,49 @@ select conv_id, count(*) as n_turns,
 from turns group by conv_id"""
 
 
+def op11_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard(table(spark, folder, "documents"))
+
+
+def op12_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.rank(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+# letters, digits and everything outside ASCII
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+OP12_SQL = f"""
+with small as (
+  select row_number() over () as place, doc_id,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+  from documents),
+words as (select place, doc_id, unnest(regexp_extract_all(text, '{TERM}')) as term from small),
+counts as (select place, doc_id, term, count(*) as tf from words group by all),
+lengths as (select place, cast(sum(tf) as bigint) as n from counts group by place),
+totals as (select count(*) as documents, cast(sum(n) as bigint) as terms from lengths),
+queries as (
+  select item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{TERM}')) as term
+  from (select distinct item_id, text from benchmark)),
+asked as (select item_id, term, count(*) as times from queries group by all),
+weighed as (
+  select term, cast(floor(1000 * ln((2 * documents + 2) / (2 * count(*) + 1))) as bigint) as w
+  from counts, totals where term in (select term from asked) group by term, documents),
+scored as (
+  select item_id, place, doc_id, cast(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (
+    100 - 25 + ((25 * n * documents) // terms))))) as bigint) as score
+  from asked join weighed using (term) join counts using (term) join lengths using (place), totals
+  group by item_id, place, doc_id)
+select item_id, cast(row_number() over best as integer) as rank, doc_id, score
+from scored where score > 0
+window best as (partition by item_id order by score desc, doc_id)
+qualify row_number() over best <= 20"""
+
+
+def op13_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations")
+    return repair.repair(repair.damaged(rows), rows.select(F.col("conv_id").cast("long").alias("conv_id")))
+
+
 QUERIES = {
     "op1_fixity": Query(op1_fixity, OP1_SQL),
     "op2_language": Query(op2_language),
@@ -152,4 +196,7 @@ QUERIES = {
     "op8_surrogates": Query(op8_surrogates),
     "op9_repetition": Query(op9_repetition),
     "op10_chat": Query(op10_chat, OP10_SQL),
+    "op11_sharding": Query(op11_sharding),
+    "op12_lexical": Query(op12_lexical, OP12_SQL),
+    "op13_repair": Query(op13_repair),
 }
