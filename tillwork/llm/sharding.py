@@ -41,7 +41,9 @@ def _flat(values: list[int]) -> Column:
 def _linked(nodes: DataFrame, links: DataFrame, shards: int) -> DataFrame:
     """A row for each document and key that others have too; ``mark``, the smallest key, names the main row."""
     links = links.filter("node is not null and key is not null").select("node", "key").distinct()
-    shared = links.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    # written out, here and below, so that the join has a plain table on either side and Spark can split a hot key
+    shared = session.materialise(
+        links.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"))
     kept = links.join(shared, "key")
     marks = kept.groupBy("node").agg(F.min("key").alias("mark"))
     start = F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int")
@@ -54,7 +56,8 @@ def _wishes(state: DataFrame, shards: int, open_to: list[bool]) -> DataFrame:
     """Per document its shard and the shard it would be in, which is its own or an open one."""
     every = range(shards)
     inside = [F.sum(F.when(F.col("shard") == s, F.col("weight")).otherwise(0)).alias(f"in{s}") for s in every]
-    around = state.join(state.groupBy("key").agg(*inside), "key").groupBy("node", "mark", "weight", "shard").agg(
+    counts = session.materialise(state.groupBy("key").agg(*inside))
+    around = state.join(counts, "key").groupBy("node", "mark", "weight", "shard").agg(
         *[F.sum(f"in{s}").alias(f"in{s}") for s in every])
     # the members of a group agree on the shard among equals, groups differ in it
     choices = [
