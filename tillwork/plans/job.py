@@ -9,7 +9,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession
 
 from tillwork import session
-from tillwork.plans import check_suite, ingest, marts, staging, warehouse
+from tillwork.plans import check_suite, incremental, ingest, marts, staging, warehouse
 from tillwork.sources.tables import as_views, write_table
 
 
@@ -77,15 +77,26 @@ def main(argv: Sequence[str] | None = None) -> None:
     yesterday = str(date.today() - timedelta(days=1))
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--raw", required=True, help="folder of the raw documents")
-    parser.add_argument("--ingested", required=True, help="folder of the staging tables")
+    parser.add_argument("--ingested", help="folder of the staging tables, not with --releases")
     parser.add_argument("--target", required=True, help="folder of dimensions, fact and marts")
     parser.add_argument("--date", default=yesterday, help="first day, default yesterday")
     parser.add_argument("--end", help="last day of a backfill, default the first day")
     parser.add_argument("--json-lines", action="store_true", help="one document per line")
+    parser.add_argument("--releases", action="store_true",
+                        help="keep all tables as releases below the target: rebuild only what the days touch, "
+                             "publish only if no check fails")
     args = parser.parse_args(argv)
+    if not args.releases and not args.ingested:
+        parser.error("--ingested is needed without --releases")
     spark = session.build("daily-job")
-    _, report = run(spark, args.raw, args.ingested, args.target, args.date, args.end,
-                    args.json_lines)
+    if args.releases:
+        outcome = incremental.load(spark, args.raw, args.target, args.date, args.end, args.json_lines)
+        report = outcome.report
+        print(f"release {outcome.release.number}",
+              "published" if outcome.published else "stays, the load was held back")
+    else:
+        _, report = run(spark, args.raw, args.ingested, args.target, args.date, args.end,
+                        args.json_lines)
     for row in report.orderBy("check_name").toLocalIterator():
         print(*row, sep="\t")
 
