@@ -5,7 +5,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
-from tillwork.operators import profile, reshape, spine
+from tillwork.functions.keys import slugify
+from tillwork.operators import checks, profile, reshape, spine
 from tillwork.operators.dedup import deduplicate, first_by
 from tillwork.operators.ordered import neighbour, positions, repeat_rows
 from tillwork.sources.tables import read_seed
@@ -33,6 +34,43 @@ def test_first_by(spark, rows):
     assert rows(first_by(df, ["k"], [F.col("o")], ["v"])) == [(1, "b"), (2, "c")]
 
 
+def test_first_by_directions_and_nulls(spark, rows):
+    df = spark.createDataFrame(
+        [(1, "b", 1), (1, "c", 2), (1, None, 3), (2, None, 4), (2, "a", None), (2, "a", 6)], "k int, s string, place int")
+    assert rows(first_by(df, ["k"], [F.desc_nulls_first("s")], ["place"])) == [(1, 3), (2, 4)]
+    assert rows(first_by(df, ["k"], [F.desc_nulls_last("s"), F.asc_nulls_last("place")], ["place"])) == [(1, 2), (2, 6)]
+
+
+OWN_NAMES = ["_id", "_range", "_place", "_rn", "_n", "_before", "_to", "_to_x", "_found", "_chunk", "_copy", "__id", "_a"]
+
+
+@pytest.mark.parametrize("names", [("x", "g"), ("_id", "_range"), ("_to", "_to_x"), ("_n", "_before"), ("__id", "_place")])
+def test_users_may_have_columns_called_like_our_own(spark, rows, names):
+    value, group = names
+    data = [(v, g) for g in (1, None) for v in (1, 2, 7, 9)]
+    df = spark.createDataFrame(data, f"{value} int, {group} int")
+    broken = checks.sequential_values(df, value, group_by=[group])
+    assert rows(broken.select(group, value, f"previous_{slugify(value)}")) == [
+        (None, 7, 2), (None, 9, 7), (1, 7, 2), (1, 9, 7)]
+    placed = positions(df, [group], {"at": [value]})
+    assert rows(placed.select(group, value, "at")) == [
+        (g, v, i) for g in (None, 1) for i, v in enumerate((1, 2, 7, 9), 1)]
+    linked = neighbour(df, [group], [value], "next", ahead=True, flag="last")
+    assert rows(linked.select(group, value, "next", "last")) == [
+        (g, v, n, n is None) for g in (None, 1) for v, n in ((1, 2), (2, 7), (7, 9), (9, None))]
+
+
+def test_operators_keep_every_column(spark, rows):
+    df = spark.createDataFrame([tuple(range(13)), tuple(range(1, 14))], ", ".join(f"{n} int" for n in OWN_NAMES))
+    assert deduplicate(df, ["_id"], [F.col("_rn")]).columns == OWN_NAMES
+    assert len(rows(repeat_rows(df.withColumn("times", F.lit(2)), "times"))) == 4
+    assert repeat_rows(df.withColumn("times", F.lit(2)), "times").columns == OWN_NAMES
+    assert checks.equality(df, df.limit(1)).columns == ["which_diff", *OWN_NAMES]
+    assert rows(checks.equality(df, df.filter("_id = 0"))) == [("a_minus_b", *range(1, 14))]
+    assert rows(checks.unique_combination_of_columns(df.unionByName(df), ["_n", "_a"])) == [(4, 12), (5, 13)]
+    assert rows(checks.equal_rowcount(df, df.limit(0), ["_a"]).select("_a", "count_a")) == [(12, 1), (13, 1)]
+
+
 # ---- ordered groups against plain windows
 
 def _ordered(spark, n, keys, seed):

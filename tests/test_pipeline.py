@@ -246,7 +246,12 @@ def test_ranked_products_by_limit(spark, raw, rows):
     lines = warehouse.fact_order_lines(
         staging.stg_order_items(ingest.explode_items(read)),
         staging.stg_orders(ingest.flatten_orders(read)))
-    assert len(rows(marts.top_products_per_week(lines, 2))) == 2
+    best = marts.top_products_per_week(lines, 2)
+    assert len(rows(best)) == 2
+    # groups are cut before they are shuffled, for limits above Spark's threshold too
+    for limit in (2, 5000):
+        plan = marts.top_products_per_week(lines, limit)._jdf.queryExecution().executedPlan().toString()
+        assert f"{limit}, Partial" in plan and f"{limit}, Final" in plan
 
 
 def test_stream_takes_each_file_once(spark, raw, tmp_path, rows):
@@ -258,3 +263,18 @@ def test_stream_takes_each_file_once(spark, raw, tmp_path, rows):
     batch = ingest.explode_items(raw_zone.read_orders(spark, raw, "2026-01-03", "2026-01-04"))
     stream = spark.read.parquet(f"{target}/stg_order_items").drop(landing.BATCH)
     assert rows(stream.drop("_ingested_at")) == rows(batch.drop("_ingested_at"))
+
+
+def test_stream_keeps_the_text_of_broken_documents(spark, tmp_path):
+    folder = tmp_path / "orders" / "date=2026-02-01"
+    folder.mkdir(parents=True)
+    good = order("2026-02-01", 1, [item("1-1", "P1")])
+    half = {**order("2026-02-01", 2, [{**item("2-1", "P1"), "quantity": "many"}])}
+    broken = '{"order_id": "x'
+    (folder / "orders.json").write_text("\n".join([json.dumps(good), broken, json.dumps(half), broken]))
+    target, checkpoint = str(tmp_path / "tables"), str(tmp_path / "checkpoint")
+    landing.ingest_new_files(spark, str(tmp_path), target, checkpoint)
+    rejected = spark.read.parquet(f"{target}/rejected")
+    assert sorted(r["_corrupt_record"] for r in rejected.collect()) == sorted([broken, broken, json.dumps(half)])
+    assert spark.read.parquet(f"{target}/stg_orders").filter("order_id is null").count() == 0
+    assert spark.read.parquet(f"{target}/stg_orders").count() == 2

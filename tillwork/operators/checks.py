@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tillwork.functions import calendar
 from tillwork.functions.keys import slugify
+from tillwork.operators.names import hidden
 from tillwork.operators.ordered import neighbour, repeat_rows
 
 # ---- row rules: a condition that is true for a bad row
@@ -82,8 +83,8 @@ def unique(df: DataFrame, column: str) -> DataFrame:
 
 def unique_combination_of_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Combinations that occur more than once; here NULL equals NULL."""
-    repeated = df.groupBy(*columns).agg(F.count("*").alias("_n")).filter("_n > 1")
-    return repeated.drop("_n")
+    n = f"{hidden(columns)}n"
+    return df.groupBy(*columns).agg(F.count("*").alias(n)).filter(F.col(n) > 1).drop(n)
 
 
 def accepted_values(df: DataFrame, column: str, values: Iterable[Any]) -> DataFrame:
@@ -127,8 +128,9 @@ def at_least_one(df: DataFrame, column: str, group_by: Sequence[str] = ()) -> Da
 
 def not_constant(df: DataFrame, column: str, group_by: Sequence[str] = ()) -> DataFrame:
     """One single value throughout; NULLs are not looked at."""
-    figures = df.groupBy(*group_by).agg(constant_figure(column).alias("_constant"))
-    return figures.filter("_constant").select(*group_by, F.lit(1).cast("bigint").alias("n_values"))
+    constant = f"{hidden(group_by)}constant"
+    figures = df.groupBy(*group_by).agg(constant_figure(column).alias(constant))
+    return figures.filter(constant).select(*group_by, F.lit(1).cast("bigint").alias("n_values"))
 
 
 def not_null_proportion(
@@ -174,10 +176,12 @@ def sequential_values(
     come back as violations of their own, since none lies one interval after its equal.
     """
     previous = f"previous_{slugify(column)}"
-    distinct = df.groupBy(*group_by, column).agg(F.count("*").alias("_n"))
-    linked = neighbour(distinct, list(group_by), [column], "_before")
+    own = hidden([*group_by, column])
+    n, link = f"{own}n", f"{own}before"
+    distinct = df.groupBy(*group_by, column).agg(F.count("*").alias(n))
+    linked = neighbour(distinct, list(group_by), [column], link)
 
-    value, before = F.col(column), F.col("_before")
+    value, before = F.col(column), F.col(link)
     if datepart:
         moved = calendar.add_interval(datepart, interval, before)
         broken = value.cast("timestamp") != moved
@@ -185,11 +189,11 @@ def sequential_values(
         broken = value != before + F.lit(interval)
     # one row of a value follows the value before it, its copies follow itself
     pairs = F.inline(F.array(
-        F.struct(before.alias("_before"), F.lit(1).cast("bigint").alias("_n")),
-        F.struct(value.alias("_before"), (F.col("_n") - 1).alias("_n")),
+        F.struct(before.alias(link), F.lit(1).cast("bigint").alias(n)),
+        F.struct(value.alias(link), (F.col(n) - 1).alias(n)),
     ))
-    bad = linked.select(*group_by, column, pairs).filter(broken & (F.col("_n") > 0))
-    return repeat_rows(bad, "_n").withColumnRenamed("_before", previous)
+    bad = linked.select(*group_by, column, pairs).filter(broken & (F.col(n) > 0))
+    return repeat_rows(bad, n).withColumnRenamed(link, previous)
 
 
 GAPS = ("allowed", "not_allowed", "required")
@@ -260,14 +264,15 @@ def relationships_where(
 
 def _group_counts(df: DataFrame, other: DataFrame, group_by: Sequence[str]) -> DataFrame:
     """Rows per group on both sides, from one pass over each table."""
+    ours, theirs = (f"{hidden(group_by)}{n}" for n in "ab")
     sides = [
-        side.select(*group_by, F.lit(a).alias("_a"), F.lit(1 - a).alias("_b"))
+        side.select(*group_by, F.lit(a).alias(ours), F.lit(1 - a).alias(theirs))
         for side, a in ((df, 1), (other, 0))
     ]
     # an ungrouped aggregate has a row even when both tables are empty
     return sides[0].unionByName(sides[1]).groupBy(*group_by).agg(
-        F.coalesce(F.sum("_a"), F.lit(0)).cast("bigint").alias("count_a"),
-        F.coalesce(F.sum("_b"), F.lit(0)).cast("bigint").alias("count_b"),
+        F.coalesce(F.sum(ours), F.lit(0)).cast("bigint").alias("count_a"),
+        F.coalesce(F.sum(theirs), F.lit(0)).cast("bigint").alias("count_b"),
     )
 
 
@@ -348,20 +353,21 @@ def equality(
     is ``equality_size``.
     """
     columns = _compared_columns(df, other, compare_columns, exclude_columns)
+    ours, theirs = (f"{hidden(columns)}{n}" for n in "ab")
     sides = [
-        side.select(*_rounded(side, columns, precision), F.lit(a).alias("_a"),
-                    F.lit(1 - a).alias("_b"))
+        side.select(*_rounded(side, columns, precision), F.lit(a).alias(ours),
+                    F.lit(1 - a).alias(theirs))
         for side, a in ((df, 1), (other, 0))
     ]
     cells = [F.col(f"`{c}`") for c in columns]
     seen = sides[0].union(sides[1]).groupBy(*cells)
-    side_name = F.when(F.col("_a") > F.col("_b"), "a_minus_b").otherwise("b_minus_a")
+    side_name = F.when(F.col(ours) > F.col(theirs), "a_minus_b").otherwise("b_minus_a")
     if multiset:
-        met = seen.agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b")).filter("_a <> _b")
+        met = seen.agg(F.sum(ours).alias(ours), F.sum(theirs).alias(theirs)).filter(F.col(ours) != F.col(theirs))
         return met.select(
-            side_name.alias("which_diff"), *cells, F.abs(F.col("_a") - F.col("_b")).alias("surplus")
+            side_name.alias("which_diff"), *cells, F.abs(F.col(ours) - F.col(theirs)).alias("surplus")
         )
-    met = seen.agg(F.max("_a").alias("_a"), F.max("_b").alias("_b")).filter("_a <> _b")
+    met = seen.agg(F.max(ours).alias(ours), F.max(theirs).alias(theirs)).filter(F.col(ours) != F.col(theirs))
     return met.select(side_name.alias("which_diff"), *cells)
 
 

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tillwork.operators.names import hidden
+
 ColumnLike = str | Column
 
 
@@ -23,18 +25,19 @@ def deduplicate(
     very many copies sends one row per task.
     """
     best = Window.partitionBy(*map(_col, partition_by)).orderBy(*order_by)
-    return df.withColumn("_rn", F.row_number().over(best)).filter("_rn = 1").drop("_rn")
+    place = f"{hidden(df.columns)}place"
+    return df.withColumn(place, F.row_number().over(best)).filter(F.col(place) == 1).drop(place)
 
 
 def first_by(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], columns: Sequence[str]
 ) -> DataFrame:
-    """``columns`` of each key's smallest row by ``order_by``, as one aggregate.
+    """``columns`` of each key's first row by ``order_by``.
 
-    Ascending order only: negate a number to prefer its largest value.
+    Each expression has its own direction and place for NULL, as in ``F.desc_nulls_last("name")``; plain ones ascend,
+    NULL first. Per key and task one row is shuffled.
     """
-    chosen = F.min_by(F.struct(*columns), F.struct(*order_by))
-    return df.groupBy(*keys).agg(chosen.alias("_row")).select(*keys, "_row.*")
+    return deduplicate(df, keys, order_by).select(*keys, *columns)
 
 
 def newest_delivery(df: DataFrame, keys: Sequence[str], version: str, *tie: str) -> DataFrame:

@@ -15,8 +15,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwork import session
+from tillwork.operators.names import hidden
 
-RANGE, PLACE, ID = "_range", "_place", "_id"
 _SHIFT = 33  # the lower bits of an id number the rows of a range
 
 
@@ -28,7 +28,7 @@ def _place_of(row_id: str) -> Column:
     return F.col(row_id).bitwiseAND((1 << _SHIFT) - 1)
 
 
-def _sorted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _sorted(df: DataFrame, keys: Sequence[str], row_id: str) -> DataFrame:
     """All rows in ascending order of ``keys``, with a growing id.
 
     Written out, because each use must see the same ranges. Rows equal in all
@@ -37,7 +37,7 @@ def _sorted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     count = session.shuffle_partitions(df.sparkSession)
     placed = (
         df.repartitionByRange(count, *keys).sortWithinPartitions(*keys)
-        .withColumn(ID, F.monotonically_increasing_id())
+        .withColumn(row_id, F.monotonically_increasing_id())
     )
     return session.materialise(placed)
 
@@ -61,34 +61,37 @@ def neighbour(
     """
     move = F.lead if ahead else F.lag
     cell = F.struct(F.col(order[0]).alias("v"))
-    found = _neighbour_across_ranges(df, group, order, move, cell)
-    out = [*df.columns, F.col("_found.v").alias(name)]
+    cells = f"{hidden(df.columns)}found"
+    found = _neighbour_across_ranges(df, group, order, move, cell, cells)
+    out = [*df.columns, F.col(f"{cells}.v").alias(name)]
     if flag:
-        out.append(F.col("_found").isNull().alias(flag))
+        out.append(F.col(cells).isNull().alias(flag))
     return found.select(*out)
 
 
 def _neighbour_across_ranges(
     df: DataFrame, group: Sequence[str], order: Sequence[str],
-    move: Callable[[Column], Column], cell: Column,
+    move: Callable[[Column], Column], cell: Column, name: str,
 ) -> DataFrame:
-    rows = _sorted(df, [*group, *order]).withColumn(RANGE, _range_of(ID))
-    inside = Window.partitionBy(RANGE, *group).orderBy(ID)
-    within = rows.withColumn("_inside", move(cell).over(inside))
+    own = hidden(df.columns)
+    row_id, range_no, inner, carried = (f"{own}{n}" for n in ("id", "range", "inside", "carried"))
+    rows = _sorted(df, [*group, *order], row_id).withColumn(range_no, _range_of(row_id))
+    inside = Window.partitionBy(range_no, *group).orderBy(row_id)
+    within = rows.withColumn(inner, move(cell).over(inside))
 
     # the row next to a range is the last one of the range before it, or the first one of
     # the range after it; one row per range, so that a single task may line them up
     pick = F.min if move is F.lead else F.max
-    outer = rows.groupBy(RANGE).agg(pick(ID).alias(ID)).select(ID)
-    edges = rows.join(F.broadcast(outer), ID).select(RANGE, *group, cell.alias("_carried"))
-    line = Window.orderBy(RANGE)
+    outer = rows.groupBy(range_no).agg(pick(row_id).alias(row_id)).select(row_id)
+    edges = rows.join(F.broadcast(outer), row_id).select(range_no, *group, cell.alias(carried))
+    line, to = Window.orderBy(range_no), f"{own}to"
     carry = edges.select(
-        F.col(RANGE).alias("_to"), *[move(c).over(line).alias(f"_to_{c}") for c in group],
-        move("_carried").over(line).alias("_carried"),
+        F.col(range_no).alias(to), *[move(c).over(line).alias(f"{to}_{c}") for c in group],
+        move(carried).over(line).alias(carried),
     )
-    meet = reduce(and_, _same(group, "_to_"), F.col(RANGE) == F.col("_to"))
+    meet = reduce(and_, _same(group, f"{to}_"), F.col(range_no) == F.col(to))
     return within.join(F.broadcast(carry), meet, "left").withColumn(
-        "_found", F.coalesce("_inside", "_carried"))
+        name, F.coalesce(inner, carried))
 
 
 def positions(
@@ -112,23 +115,26 @@ def _position_across_ranges(
     Rows move only for the sort and, if there are too many groups to broadcast,
     to meet their group's start.
     """
-    rows = _sorted(df, [*group, *order]).withColumns({RANGE: _range_of(ID), PLACE: _place_of(ID)})
-    sizes = rows.groupBy(RANGE).agg(F.count("*").alias("_n"))
+    own = hidden(df.columns)
+    row_id, range_no, place, n, base, number, start = (
+        f"{own}{x}" for x in ("id", "range", "place", "n", "before", "number", "start"))
+    spots = {range_no: _range_of(row_id), place: _place_of(row_id)}
+    rows = _sorted(df, [*group, *order], row_id).withColumns(spots)
+    sizes = rows.groupBy(range_no).agg(F.count("*").alias(n))
     # one row per range, so that a single task may add them up
-    before = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy(range_no).rowsBetween(Window.unboundedPreceding, -1)
     offsets = F.broadcast(sizes.select(
-        RANGE, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+        range_no, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(base)))
 
-    numbered = rows.join(offsets, RANGE).withColumn("_number", F.col("_before") + F.col(PLACE))
+    numbered = rows.join(offsets, range_no).withColumn(number, F.col(base) + F.col(place))
     if not group:
-        return numbered.select(*df.columns, (F.col("_number") + 1).alias(name))
-    first = rows.groupBy(*group).agg(F.min(ID).alias(ID)).withColumns(
-        {RANGE: _range_of(ID), PLACE: _place_of(ID)})
-    starts = first.join(offsets, RANGE).select(
-        *[F.col(c).alias(f"_of_{c}") for c in group],
-        (F.col("_before") + F.col(PLACE)).alias("_start"))
-    return numbered.join(starts, reduce(and_, _same(group, "_of_"))).select(
-        *df.columns, (F.col("_number") - F.col("_start") + 1).alias(name))
+        return numbered.select(*df.columns, (F.col(number) + 1).alias(name))
+    first = rows.groupBy(*group).agg(F.min(row_id).alias(row_id)).withColumns(spots)
+    starts = first.join(offsets, range_no).select(
+        *[F.col(c).alias(f"{own}of_{c}") for c in group],
+        (F.col(base) + F.col(place)).alias(start))
+    return numbered.join(starts, reduce(and_, _same(group, f"{own}of_"))).select(
+        *df.columns, (F.col(number) - F.col(start) + 1).alias(name))
 
 
 def repeat_rows(df: DataFrame, times: str, chunk: int = 100_000) -> DataFrame:
@@ -139,11 +145,12 @@ def repeat_rows(df: DataFrame, times: str, chunk: int = 100_000) -> DataFrame:
     columns = [c for c in df.columns if c != times]
     chunks = (F.col(times) + (chunk - 1)).cast("bigint")
     numbers = F.sequence(F.lit(1).cast("bigint"), F.floor(chunks / chunk))
-    parts = df.filter(F.col(times) > 0).select("*", F.explode(numbers).alias("_chunk"))
-    size = F.least(F.lit(chunk).cast("bigint"), F.col(times) - (F.col("_chunk") - 1) * chunk)
-    spread = parts.select(*columns, size.alias("_size")).repartition(
+    number, size, copy = (f"{hidden(df.columns)}{n}" for n in ("chunk", "size", "copy"))
+    parts = df.filter(F.col(times) > 0).select("*", F.explode(numbers).alias(number))
+    left = F.least(F.lit(chunk).cast("bigint"), F.col(times) - (F.col(number) - 1) * chunk)
+    spread = parts.select(*columns, left.alias(size)).repartition(
         session.shuffle_partitions(df.sparkSession)
     )
     return spread.select(
-        *columns, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_size"))).alias("_copy")
-    ).drop("_copy")
+        *columns, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(size))).alias(copy)
+    ).drop(copy)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillwork import session
 from tillwork.functions import calendar
+from tillwork.operators.names import hidden
 
 
 def generate_series(spark: SparkSession, upper_bound: int) -> DataFrame:
@@ -39,8 +40,9 @@ def fill_weeks(
     """
     df = session.materialise(df.select(week, *keys, *measures))
     if own_span:
-        spans = df.groupBy(*keys).agg(F.min(week).alias("_lo"), F.max(week).alias("_hi"))
-        weeks = F.sequence("_lo", "_hi", F.expr("interval 7 days"))
+        low, high = (f"{hidden(keys)}{n}" for n in ("lo", "hi"))
+        spans = df.groupBy(*keys).agg(F.min(week).alias(low), F.max(week).alias(high))
+        weeks = F.sequence(low, high, F.expr("interval 7 days"))
         return _filled(spans.select(*keys, F.explode(weeks).alias(week)), df, week, keys, measures)
     span = df.agg(F.min(week).alias("lo"), F.max(week).alias("hi")).first()
     if span["lo"] is None:
@@ -54,11 +56,11 @@ def fill_weeks(
 def _filled(
     grid: DataFrame, df: DataFrame, week: str, keys: Sequence[str], measures: Sequence[str]
 ) -> DataFrame:
-    seen = df.select(F.col(week).alias("_week"), *[F.col(k).alias(f"_{k}") for k in keys],
-                     *[F.col(m).alias(f"_{m}") for m in measures])
-    same = F.col(week) == F.col("_week")
+    own = hidden([week, *keys, *measures])
+    seen = df.select(*[F.col(c).alias(f"{own}{c}") for c in (week, *keys, *measures)])
+    same = F.col(week) == F.col(f"{own}{week}")
     for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+        same = same & F.col(k).eqNullSafe(F.col(f"{own}{k}"))
     return grid.join(seen, same, "left").select(
-        week, *keys, *[F.coalesce(f"_{m}", F.lit(0)).alias(m) for m in measures]
+        week, *keys, *[F.coalesce(f"{own}{m}", F.lit(0)).alias(m) for m in measures]
     )

@@ -119,6 +119,12 @@ def check_sequential_values(t: StarSchema) -> DataFrame:
     return C.sequential_values(t.lineitem, "l_linenumber", group_by=["l_orderkey"])
 
 
+def check_sequential_values_odd_names(t: StarSchema) -> DataFrame:
+    """As ``check_sequential_values``, on columns called like those the operators add for themselves."""
+    odd = t.lineitem.select(F.col("l_linenumber").alias("_id"), F.col("l_orderkey").alias("_range"))
+    return C.sequential_values(odd, "_id", group_by=["_range"])
+
+
 def check_sequential_values_overall(t: StarSchema) -> DataFrame:
     return C.sequential_values(t.lineitem, "l_orderkey")
 
@@ -440,6 +446,13 @@ with linked as (
       as previous_l_linenumber
   from lineitem)
 select * from linked where not (l_linenumber = previous_l_linenumber + 1)
+"""),
+    "check_sequential_values_odd_names": Query(check_sequential_values_odd_names, """
+with linked as (
+  select l_orderkey as _range, cast(l_linenumber as bigint) as _id,
+    cast(lag(l_linenumber) over (partition by l_orderkey order by l_linenumber) as bigint) as previous__id
+  from lineitem)
+select * from linked where not (_id = previous__id + 1)
 """),
     "check_sequential_values_overall": Query(check_sequential_values_overall, """
 with linked as (

@@ -75,25 +75,31 @@ def backfill_withdrawn(t: StarSchema) -> DataFrame:
 
 def daily_job_rejected(t: StarSchema) -> DataFrame:
     """Documents per day that were cut off on their way, beside the orders that were loaded."""
+    root = _land_with_cut_documents(t)
+    _land_products(t, root)
+    target = session.scratch_path(t.spark, "ingested")
+    ingest.ingest(t.spark, root, target, json_lines=True)
+    return _loaded_and_rejected(*(t.spark.read.parquet(f"{target}/{n}") for n in ("stg_orders", "rejected")))
+
+
+def _land_with_cut_documents(t: StarSchema) -> str:
     day = raw_zone.ORDERS_DAY
     root = _land_orders(t)
-    _land_products(t, root)
     cut = t.orders.filter("o_orderstatus = 'P'").select(
         F.format_string('{"order_id": "%s", "created_at": "2', F.col("o_orderkey").cast("string"))
         .alias("value"),
         F.trunc(F.col("o_orderdate").cast("date"), "month").alias(day))
     cut.hint("rebalance", day).write.partitionBy(day).mode("append").text(
         f"{root}/{raw_zone.ORDERS}")
-    target = session.scratch_path(t.spark, "ingested")
-    ingest.ingest(t.spark, root, target, json_lines=True)
+    return root
+
 
-    def per_day(name: str) -> DataFrame:
-        return t.spark.read.parquet(f"{target}/{name}").groupBy("_ingestion_date").agg(
-            F.count("*").alias(name))
+def _loaded_and_rejected(orders: DataFrame, rejected: DataFrame) -> DataFrame:
+    def per_day(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("_ingestion_date").agg(F.count("*").alias(name))
 
-    return per_day("stg_orders").join(per_day("rejected"), "_ingestion_date", "full").select(
-        F.col("_ingestion_date").alias("day"), F.col("stg_orders").alias("loaded"),
-        F.coalesce("rejected", F.lit(0)).alias("rejected"))
+    return per_day(orders, "loaded").join(per_day(rejected, "rejected"), "_ingestion_date", "full").select(
+        F.col("_ingestion_date").alias("day"), "loaded", F.coalesce("rejected", F.lit(0)).alias("rejected"))
 
 
 def _rows_by_day(t: StarSchema, target: str) -> DataFrame:

@@ -32,6 +32,13 @@ def first_events(t: StarSchema) -> DataFrame:
                     ["event_id", "value"])
 
 
+def last_events(t: StarSchema) -> DataFrame:
+    """The event of each user whose type comes last, unknown types behind all others; of these the one of least value."""
+    kind = F.when(F.col("event_type") != "view", F.col("event_type"))
+    return first_by(t.events.withColumn("kind", kind), ["user_id"],
+                    [F.desc_nulls_last("kind"), F.col("value"), F.desc("event_id")], ["event_id", "kind"])
+
+
 def dedup_by_expression(t: StarSchema) -> DataFrame:
     """The dearest order of each customer and year, by expressions on both sides."""
     return deduplicate(
@@ -217,6 +224,15 @@ def frequent_buyers(t: StarSchema) -> DataFrame:
     return profile.top_values(t.orders, "o_custkey", 25, where="o_orderstatus = 'F'")
 
 
+def share_of_status(t: StarSchema) -> DataFrame:
+    """Share of each priority in the orders of its status; the totals per status pass through the driver."""
+    totals = profile.as_dict(
+        t.orders.groupBy("o_orderstatus").agg(F.count("*").alias("n")).sort("o_orderstatus"), max_rows=100)
+    of_status = F.create_map(*[F.lit(v) for pair in zip(totals["o_orderstatus"], totals["n"]) for v in pair])
+    counts = t.orders.groupBy("o_orderstatus", "o_orderpriority").agg(F.count("*").alias("n"))
+    return counts.withColumn("share", F.col("n") / of_status[F.col("o_orderstatus")])
+
+
 def orders_of_last_day(t: StarSchema) -> DataFrame:
     """The newest day is read first and then looked up."""
     newest = profile.single_value(t.orders.agg(F.max(F.col("o_orderdate").cast("date"))))
@@ -290,6 +306,11 @@ from lineitem qualify row_number() over (
 select o_orderkey, o_custkey, o_totalprice from orders qualify row_number() over (
   partition by o_custkey, extract(year from o_orderdate)
   order by o_totalprice * 2 desc, o_orderkey) = 1
+"""),
+    "last_events": Query(last_events, """
+with kinds as (select *, nullif(event_type, 'view') as kind from events)
+select user_id, event_id, kind from kinds qualify row_number() over (
+  partition by user_id order by kind desc nulls last, value asc nulls first, event_id desc) = 1
 """),
     "first_events": Query(first_events, """
 select user_id, event_type, event_id, value from events qualify row_number() over (
@@ -391,6 +412,11 @@ select event_type as value, count(*) as n from events group by 1
     "frequent_buyers": Query(frequent_buyers, """
 select o_custkey as value, count(*) as n from orders where o_orderstatus = 'F'
 group by 1 order by 2 desc, 1 limit 25
+"""),
+    "share_of_status": Query(share_of_status, """
+select o_orderstatus, o_orderpriority, count(*) as n,
+  count(*) / sum(count(*)) over (partition by o_orderstatus) as share
+from orders group by o_orderstatus, o_orderpriority
 """),
     "orders_of_last_day": Query(orders_of_last_day, """
 select o_orderkey, o_custkey from orders

@@ -72,5 +72,12 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def raise_group_limit(spark: SparkSession, limit: int) -> None:
+    """Let filters on the first ``limit`` rows of a group cut groups before they are shuffled."""
+    name = "spark.sql.optimizer.windowGroupLimitThreshold"
+    if int(spark.conf.get(name)) < limit:
+        spark.conf.set(name, str(limit))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillwork import session
 from tillwork.operators.dedup import deduplicate, newest_delivery
+from tillwork.operators.names import hidden
 from tillwork.streaming.landing import BATCH, append_batch, run_batches
 
 
@@ -23,9 +24,10 @@ def drop_redelivered(
     """
     marked = stream.withWatermark(moment, delay)
     if salts > 1:
+        salt = f"{hidden(stream.columns)}salt"
         marked = (
-            marked.withColumn("_salt", F.spark_partition_id() % salts)
-            .dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
+            marked.withColumn(salt, F.spark_partition_id() % salts)
+            .dropDuplicatesWithinWatermark([*keys, salt]).drop(salt)
         )
     return marked.dropDuplicatesWithinWatermark(list(keys))
 
