@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillwork.operators import checks as C
-from tillwork.plans.check_suite import Check, run_checks, split_bad_rows, store_failures
+from tillwork.plans.check_suite import Check, run_checks, split_bad_rows, store_failures, violations
 
 
 def make(spark, schema, *data):
@@ -276,6 +276,27 @@ def test_suite_reads_a_table_once_for_all_row_checks(spark, tmp_path):
     assert plan.count("FileScan") == 1
 
 
+def test_suite_reads_a_table_once_for_all_value_checks(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a", "x"), (1, "b", None), (None, "b", "y"), (None, "b", "z"), (3, None, "y")],
+                          "v int, w string, z string").write.parquet(path)
+    wanted = [
+        Check("unique", "t", "v"), Check("unique", "t", "z"),
+        Check("accepted_values", "t", "w", {"values": ["a"]}),
+        Check("not_accepted_values", "t", "w", {"values": ["a", "b", "c"]}),
+        Check("unique_combination_of_columns", "t", args={"columns": ["w", "v"]}, name="wv"),
+        Check("unique_combination_of_columns", "t", args={"columns": ["v", "w"]}, name="vw"),
+        Check("unique", "t", "w", where="v is not null", name="alone"),
+    ]
+    tables = {"t": spark.read.parquet(path)}
+    found = {r["check_name"]: r["failures"] for r in run_checks(tables, wanted).collect()}
+    assert found == {c.label: violations(tables, c).count() for c in wanted} == {
+        "unique_t_v": 1, "unique_t_z": 1, "accepted_values_t_w": 1, "not_accepted_values_t_w": 2, "wv": 1, "vw": 1,
+        "alone": 0}
+    plan = run_checks(tables, wanted[:-1])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+
+
 def test_suite_looks_for_a_single_value_with_a_limit(spark, tmp_path):
     path = str(tmp_path / "t")
     make(spark, "id int, v int", (1, None), (2, 3)).write.parquet(path)
