@@ -4,12 +4,17 @@ Both vocabularies in use never join characters across the place where a run of
 white space ends or begins in the way ``PIECES`` cuts, so a text's ids are those of its
 pieces in turn. Texts with control characters that only Python counts as white
 space, or with a special token's string, are encoded whole.
+
+A piece of letters is one word to either vocabulary, and punctuation behind letters another one. So the library's model
+is asked for words of Latin letters directly, without the search for words; an encoder does so only if its
+vocabulary answers some probes alike both ways.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import struct
 from itertools import islice
 
 import numpy as np
@@ -24,6 +29,29 @@ PIECES = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 _ODD = re.compile("[\x1c-\x1f]")
 
 
+# how byte vocabularies write bytes: printable ones as they are, the others in their order from U+0100 on
+_PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_OTHERS = [b for b in range(256) if b not in _PRINTED]
+ALPHABET = {b: 256 + i for i, b in enumerate(_OTHERS)}
+SPACE = chr(ALPHABET[0x20])
+#: What a vocabulary does to a word before: nothing, or lower case without the space.
+FOLDS = (lambda piece: piece, lambda piece: piece.lstrip(" ").lower())
+PROBES = ("a", " a", "The", " The", "zqxjk", " Zqxjk", "HELLO", " internationalisation", "s", " t", " Été", "straße", "ñ")
+#: Punctuation that is cut off from the letters before it.
+TAILS = ".,;:!?$%&*|#<>()[]{}"
+
+
+class Known(dict):
+    """Ids of pieces, found when they are asked for the first time."""
+
+    def __init__(self, find) -> None:
+        self.find = find
+
+    def __missing__(self, piece: str) -> bytes:
+        self[piece] = ids = self.find(piece)
+        return ids
+
+
 class Encoder:
     """``ids(text)`` gives the ids as little-endian bytes, ``width`` bytes each.
 
@@ -35,27 +63,35 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.model = self.tokenizer.model
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special)))
-        self.between, self.between_id = next(iter(special.items()))
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.kind = f"<u{self.width}"
+        self.kind, self.letter = f"<u{self.width}", "H" if self.width == 2 else "I"
         self.end = np.array([END_ID], self.kind).tobytes()
-        self.keep, self.known = keep, {}
-
-    def _encode(self, pieces: list[str]) -> dict[str, bytes]:
-        out = {}
-        for at in range(0, len(pieces), 64):
-            some = pieces[at:at + 64]
-            # what stands between special tokens is encoded by itself
-            done = self.tokenizer.encode_batch_fast([self.between.join(some)], add_special_tokens=False)
-            ids = np.array(done[0].ids, self.kind)
-            ends = [*(np.flatnonzero(ids == self.between_id) * self.width).tolist(), ids.nbytes]
-            raw, begin = ids.tobytes(), 0
-            for piece, end in zip(some, ends, strict=True):
-                out[piece] = raw[begin:end]
-                begin = end + self.width
-        return out
+        self.keep, self.known = keep, Known(self._piece)
+        self.fold = next((f for f in FOLDS if all(self._word(p, f) == self._whole(p) for p in PROBES)), None)
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def _word(self, piece: str, fold) -> bytes:
+        folded = fold(piece)
+        if folded.isascii():
+            written = folded.replace(" ", SPACE)
+        else:
+            written = folded.encode().decode("latin-1").translate(ALPHABET)
+        found = self.model.tokenize(written)
+        return struct.pack(f"<{len(found)}{self.letter}", *[t.id for t in found])
+
+    def _piece(self, piece: str) -> bytes:
+        core = piece.rstrip(TAILS)
+        if core[-1:].isalpha() and len(core) < len(piece):
+            return self.known[core] + self.known[piece[len(core):]]
+        word = piece[1:] if piece[0] == " " else piece
+        if self.fold is not None and word.isalpha() and (word.isascii() or max(word) <= "\xff"):
+            return self._word(piece, self.fold)
+        return self._whole(piece)
 
     def ids(self, text: str | None, end: bool = True) -> bytes:
         """All ids of ``text`` (null: none), with the end id behind them."""
@@ -63,23 +99,12 @@ class Encoder:
         if not text:
             return tail
         if _ODD.search(text) or self.special.search(text):
-            done = self.tokenizer.encode(text, add_special_tokens=False)
-            return np.array(done.ids, self.kind).tobytes() + tail
-        pieces = PIECES.findall(text)
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, pieces)) + tail
-        except KeyError:
-            missing = {p for p in pieces if p not in known}
-            # a full stop or comma that ends a word is a token of its own
-            marked = {p for p in missing if p[-1] in ".," and p[-2:-1].isalpha()}
-            known.update(self._encode(list(
-                (missing - marked) | {x for p in marked for x in (p[:-1], p[-1]) if x not in known})))
-            known.update((p, known[p[:-1]] + known[p[-1]]) for p in marked)
-            joined = b"".join(map(known.__getitem__, pieces)) + tail
-            if len(known) > self.keep:  # what came first is what comes often
-                self.known = dict(islice(known.items(), self.keep // 2))
-            return joined
+            return self._whole(text) + tail
+        joined = b"".join(map(self.known.__getitem__, PIECES.findall(text))) + tail
+        if len(self.known) > self.keep:  # what came first is what comes often
+            kept, self.known = self.known, Known(self._piece)
+            self.known.update(islice(kept.items(), self.keep // 2))
+        return joined
 
 
 _ENCODERS: dict[str, Encoder] = {}
