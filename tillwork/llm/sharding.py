@@ -58,11 +58,14 @@ def _wishes(state: DataFrame, shards: int, open_to: list[bool]) -> DataFrame:
     inside = [F.sum(F.when(F.col("shard") == s, F.col("weight")).otherwise(0)).alias(f"in{s}") for s in every]
     counts = session.materialise(state.groupBy("key").agg(*inside))
     around = state.join(counts, "key").groupBy("node", "mark", "weight", "shard").agg(
-        *[F.sum(f"in{s}").alias(f"in{s}") for s in every])
+        *[F.sum(f"in{s}").alias(f"in{s}") for s in every], F.count("*").alias("keys"))
+    # the document itself is counted with each of its keys, but stands for one only
+    held = [F.when(F.col("shard") == s, F.col(f"in{s}") - (F.col("keys") - 1) * F.col("weight"))
+            .otherwise(F.col(f"in{s}")) for s in every]
     # the members of a group agree on the shard among equals, groups differ in it
     choices = [
         F.when(F.lit(open_to[s]) | (F.col("shard") == s),
-               F.struct(F.col(f"in{s}").alias("n"), F.xxhash64("mark", F.lit(s)).alias("tie"), F.lit(s).alias("s")))
+               F.struct(held[s].alias("n"), F.xxhash64("mark", F.lit(s)).alias("tie"), F.lit(s).alias("s")))
         for s in every]
     return around.select("node", "mark", "weight", "shard", F.greatest(*choices)["s"].alias("wish"))
 
