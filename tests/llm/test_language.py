@@ -90,3 +90,44 @@ def test_training_sample_is_bounded(make, monkeypatch):
     assert max(len(language.Words([s])) for s in found) <= language.SEGMENT_WORDS
     of = [sum(c in s for s in found) for c in ("今", "xx", "ab", "ef")]
     assert sum(of) == 39 and max(of) - min(of) <= 1
+
+
+def test_every_language_is_learned():
+    rng = np.random.default_rng(4)
+    stretches = []
+    for i in range(100):
+        letters = rng.choice(list("abcdefghijklmnopqrstuvwxyzáéíóúñçß"), 12, replace=False)
+        vocabulary = ["".join(rng.choice(letters, rng.integers(3, 8))) for _ in range(60)]
+        stretches += [(f"l{i:03d}", " ".join(rng.choice(vocabulary, 24))) for _ in range(12)]
+    model = language.fit([s for k, s in enumerate(stretches) if k % 12], rounds=6)
+    assert len(model.languages) == 100 and model.weights.size <= language.WEIGHTS
+    apart = stretches[::12]
+    got = language.predict_texts([t for _, t in apart], model)[0]
+    assert sum(a == b for a, (b, _) in zip(got, apart)) >= 95
+
+
+def test_weights_are_bounded():
+    assert language.buckets(4) == language.BUCKETS
+    for k in (1, 129, 1000, 70_000):
+        assert language.buckets(k) * k <= language.WEIGHTS
+
+
+def test_more_languages_than_the_sample_shares_out(make, monkeypatch):
+    monkeypatch.setattr(language, "ALL_DOCS", 5)
+    monkeypatch.setattr(language, "ALL_SEGMENTS", 5)
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 4 != 2][:18]
+    docs = make(["some words"] * 9, ids[:9], lang="l0")
+    for k in range(1, 10):
+        docs = docs.unionByName(make([f"word{'x' * k} of {'y' * k}"], [ids[8 + k]], lang=f"l{k}"))
+    assert sorted({lang for lang, _ in language.training_segments(docs)}) == [f"l{k}" for k in range(10)]
+
+
+def test_copies_count_once_in_training(make, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_DOCS", 30)
+    monkeypatch.setattr(language, "SEGMENTS", 60)
+    ids = [i for i in range(3000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    copied = " ".join(f"cop{'abcdefgh'[i % 8]}" for i in range(90))
+    others = [f"only {'qrstuvwxyz'[i % 10] * (i + 1)}" for i in range(20)]
+    docs = make([copied] * 500 + others + [others[0]] * 5, ids[:520] + [ids[500]] * 5)
+    found = [s for _, s in language.training_segments(docs)]
+    assert sum("cop" in s for s in found) == 4 and len(found) == 24
