@@ -87,3 +87,39 @@ def test_no_python_in_the_plan(spark, make):
     benchmark = spark.createDataFrame([(0, "a b c d e f")], "item_id long, text string")
     plan = decontam.contaminated(make(["a b c d e f"]), benchmark)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def test_wide_blocks_guarantee_the_radius_and_prune(spark):
+    rng = random.Random(6)
+    near, far = [], []
+    for _ in range(200):
+        a = rng.getrandbits(64)
+        b = a
+        for bit in rng.sample(range(64), 19):
+            b ^= 1 << bit
+        near.append((signed(a), signed(b)))
+        far.append((signed(a), signed(rng.getrandbits(64))))
+    meet = F.arrays_overlap(decontam.blocks(F.col("a"), decontam.BLOCKS), decontam.near_blocks(F.col("b")))
+    met = [sum(r.meet for r in spark.createDataFrame(x, "a long, b long").select(meet.alias("meet")).collect())
+           for x in (near, far)]
+    assert met[0] == 200 and met[1] <= 70
+
+
+def test_repeats_are_numbered_in_linear_time(spark):
+    rng = random.Random(8)
+    rows = [([rng.randrange(5) for _ in range(n)],) for n in (0, 1, 2, 30)] + [([7] * 100_000,)]
+    got = spark.createDataFrame(rows, "h array<bigint>").select(decontam._as_set("h").alias("s"), "h").collect()
+    for r in got:
+        assert len(r.s) == len(set(r.s)) == len(r.h) and set(r.h) <= set(r.s)
+
+
+def test_long_repetitive_items(spark, make):
+    words = "same " * 70_003
+    benchmark = spark.createDataFrame([(0, words)], "item_id long, text string")
+    found = decontam.contaminated(make([words, "same " * 60_000, "same " * 50_000]), benchmark).collect()
+    assert {(r.doc_id, round(r.similarity, 6), r.differing_bits) for r in found} == {
+        (0, 1.0, 0), (1, round(59_996 / 69_999, 6), 0)}
