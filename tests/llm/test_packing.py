@@ -96,3 +96,22 @@ def test_pieces_carry_what_the_digest_needs(documents):
 def test_sequences(documents):
     row = packing.sequences(packing.pack(documents)).filter("sequence_id = 0").first()
     assert sum(p.length for p in row.pieces) == 2048
+
+
+def test_unnamed_sources_share_what_is_left(spark):
+    rows = [(s, p, r, 100) for s, parts in (("a", 3), ("b", 9), ("c", 18), (None, 3)) for p in range(parts) for r in range(10)]
+    sent = spark.createDataFrame([(s, p, r, r * n, n) for s, p, r, n in rows],
+                                 "source string, part int, row long, before long, length long")
+
+    def early(targets, rounds):
+        dealt = packing.rounds(sent, targets, 1000).filter(f"round <= {rounds}").groupBy("source")
+        return {r.source: r.n for r in dealt.agg(F.sum("length").alias("n")).collect()}
+
+    n = early({"a": 0.5}, 5)
+    # 2,500 of a; the others have 9, 18 and 3 parts of 2,500
+    assert n == {"a": 2500, "b": 700, "c": 1500, None: 200}
+    assert early({"a": 0.25, "b": 0.75}, 12) == {"a": 3000, "b": 9000}
+    assert set(early({"a": 0.25, "b": 0.75}, 10**18)) == {"a", "b", "c", None}
+    for wrong in ({"a": 0.7, "b": 0.4}, {"a": 0}, {"a": -0.1}):
+        with pytest.raises(ValueError):
+            packing.rounds(sent, wrong)

@@ -71,17 +71,22 @@ def rounds(sent: DataFrame, targets: dict[str, float] | None = None, window: int
            ) -> DataFrame:
     """``sent`` with the round each packet is dealt in and its place in its source's queue.
 
-    ``targets`` gives token shares by source; a source it doesn't name, and every source
-    if it is not given, keeps the share of tokens it has in the data.
+    ``targets`` gives token shares by source, which add up to 1 at most; sources it doesn't name share what is
+    left in proportion to their tokens (those come last if nothing is left). Without targets every source has the
+    share of tokens it has in the data. Targets of sources without tokens go to nobody.
     """
+    if targets and (min(targets.values()) <= 0 or sum(targets.values()) > 1 + 1e-9):
+        raise ValueError(f"shares must be above 0 and add up to 1 at most: {targets}")
     totals = sent.groupBy("source", "part").agg(F.sum("length").alias("n"))
     queue = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     whole = totals.groupBy("source").agg(F.sum("n").alias("of_source"))
-    everything = whole.agg(F.sum("of_source").alias("of_all"))
-    share = F.col("of_source") / F.col("of_all")
-    if targets:
-        given = F.create_map(*[F.lit(x) for pair in targets.items() for x in pair])
-        share = F.coalesce(given[F.col("source")].cast("double"), share)
+    given = F.create_map(*[F.lit(x) for pair in (targets or {}).items() for x in pair]) \
+        .cast("map<string,double>")[F.col("source")]
+    left = max(0.0, 1 - sum((targets or {}).values()))
+    whole = whole.withColumn("given", given)
+    everything = whole.agg(F.sum(F.when(F.col("given").isNull(), F.col("of_source"))).alias("of_all"))
+    # a source without a share is dealt after all others
+    share = F.greatest(F.coalesce("given", F.col("of_source") / F.col("of_all") * left), F.lit(1e-9))
     quanta = whole.join(F.broadcast(everything)).select(
         F.col("source").alias("of"), (share * window).alias("quantum"))  # one row of totals
     bases = (totals.withColumn("base", F.coalesce(F.sum("n").over(queue), F.lit(0)))

@@ -32,8 +32,8 @@ class Limits:
     """Largest share of word characters in later occurrences of repeated n-grams, by length, and in repeated lines."""
 
     ngrams: dict[int, float] = field(default_factory=lambda: {
-        5: 0.25, 6: 0.24, 7: 0.23, 8: 0.22, 9: 0.21, 10: 0.20})
-    lines: float = 0.3
+        5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10})
+    lines: float = 0.2
 
 
 def _repeated(keys: np.ndarray, later: bool) -> np.ndarray:
