@@ -167,3 +167,12 @@ def test_every_mention_is_replaced(documents):
         new, marks = pii.rewrite(KEY, r.text)
         for (_, _, kind, value), (_, at) in zip(pii.find(r.text), marks, strict=True):
             assert new[at:at + len(value)] != value, (kind, value)
+
+
+def test_provider_keys():
+    for head in ("sk-", "sk-proj-", "sk-live-test-"):
+        given = f"use {head}aB3dE6gH9jK2mN5pQ8sT1vW4 here, not sk-short or task-oriented"
+        new, marks = pii.rewrite(b"k", given)
+        value = given.split()[1]
+        assert [k for k, _ in marks] == ["key"] and value not in new and f"use {head}" in new
+        assert len(new) == len(given) and new.endswith(" here, not sk-short or task-oriented")

@@ -87,3 +87,15 @@ def test_empty(spark, make):
     for _, stage in corpus_pipeline.STAGES:
         docs = session.materialise(stage(spark, docs, SMALL))
     assert docs.count() == 0
+
+
+def test_key_of_surrogates_is_a_setting(spark, make):
+    docs = make(["write to anna.petrova@example.org"])
+    rows = []
+    for secret in ("one", "two", "one"):
+        spark.conf.set(corpus_pipeline.KEY_SETTING, secret)
+        rows.append(corpus_pipeline.with_surrogates(spark, docs, SMALL).first().text)
+    spark.conf.unset(corpus_pipeline.KEY_SETTING)
+    with pytest.warns(UserWarning, match="reverse"):
+        rows.append(corpus_pipeline.with_surrogates(spark, docs, SMALL).first().text)
+    assert rows[0] == rows[2] and len(set(rows)) == 3

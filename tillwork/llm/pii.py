@@ -92,7 +92,8 @@ PATTERNS = {
     "secret": rf"(?i:{_KEYWORD})" r"""\\?["']?\s{0,3}(?::=|=>|={1,3}|:)\s{0,3}"""
               r"""(?:"(?P<secret_double>(?:[^"\\\n]|\\.){6,})"|'(?P<secret_single>(?:[^'\\\n]|\\.){6,})'"""
               rf"""|["']?(?P<secret_value>{_BARE}))""",
-    "key": r"\b(?:AKIA|ASIA)(?P<key_value>[A-Z0-9]{16})\b|\bgh[pousr]_(?P<hub_value>[A-Za-z0-9]{36})\b",
+    "key": r"\b(?:AKIA|ASIA)(?P<key_value>[A-Z0-9]{16})\b|\bgh[pousr]_(?P<hub_value>[A-Za-z0-9]{36})\b"
+           r"|\bsk-(?:[a-z]{2,8}-){0,2}(?P<provider_value>[A-Za-z0-9]{20,})\b",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)",
     "card": r"(?<![\d+-])\d(?:[ -]?\d){12,18}(?![\d-]*\d)",
@@ -105,8 +106,8 @@ PATTERNS = {
 }
 ENTITY = re.compile("|".join(f"(?P<{k}>{p})" for k, p in PATTERNS.items()))
 #: A text without any of these holds no entity.
-HINT = re.compile(rf"[\d@]|(?:{_TITLE})\.? |(?i:token|pass|pwd|secret|credential|key)|AKIA|ASIA|gh[pousr]_")
-_WHOLE = {"secret": ("secret_double", "secret_single", "secret_value"), "key": ("key_value", "hub_value"), "name": ("name_value",)}
+HINT = re.compile(rf"[\d@]|(?:{_TITLE})\.? |(?i:token|pass|pwd|secret|credential|key)|AKIA|ASIA|gh[pousr]_|sk-")
+_WHOLE = {"secret": ("secret_double", "secret_single", "secret_value"), "key": ("key_value", "hub_value", "provider_value"), "name": ("name_value",)}
 
 ROUNDS = 8
 #: Characters exchanged as one number; longer values are several.
