@@ -8,6 +8,8 @@ stage and are packed as empty documents (of several, near-duplicate removal keep
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillwork import session
@@ -15,11 +17,23 @@ from tillwork.llm import decontam, packing, pii, simhash, toxicity
 from tillwork.llm.common import ship, table
 from tillwork.llm.queries import PII_KEY
 
+#: Session setting with the key of the surrogates.
+KEY_SETTING = "spark.tillwork.surrogates.key"
+
 
 def _ready(spark: SparkSession) -> SparkSession:
     return ship(session.tune(spark))
 
 
+def _key(spark: SparkSession) -> bytes:
+    """The secret behind the surrogates; the public one of the registered query if the session names none."""
+    secret = spark.conf.get(KEY_SETTING, None)
+    if secret is None:
+        warnings.warn(f"{KEY_SETTING} is not set: anyone can reverse these surrogates", stacklevel=3)
+        return PII_KEY
+    return secret.encode()
+
+
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.learn(docs, table(_ready(spark), sf_dir, "labels"))
     return toxicity.without_toxic(docs, model)
@@ -35,9 +49,9 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def with_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    _ready(spark)
-    pii.check_distinct(docs, PII_KEY)
-    return pii.replace(docs, PII_KEY)
+    key = _key(_ready(spark))
+    pii.check_distinct(docs, key)
+    return pii.replace(docs, key)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
