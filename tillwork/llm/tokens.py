@@ -58,7 +58,7 @@ class Encoder:
     ``keep`` bounds the pieces a worker remembers; beyond it the later half is forgotten.
     """
 
-    def __init__(self, name: str, keep: int = 1_000_000):
+    def __init__(self, name: str, keep: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
