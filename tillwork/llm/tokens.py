@@ -27,6 +27,7 @@ END_ID = 1
 #: A word with the one space before it, or the white space between words without that space.
 PIECES = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 _ODD = re.compile("[\x1c-\x1f]")
+_OTHER_SPACE = re.compile(r"[^\S \n]")
 
 
 # how byte vocabularies write bytes: printable ones as they are, the others in their order from U+0100 on
@@ -51,14 +52,21 @@ class Known(dict):
         self[piece] = ids = self.find(piece)
         return ids
 
+    def first(self, share: float) -> Known:
+        """The pieces met first, which are those that come often."""
+        kept = Known(self.find)
+        kept.update(islice(self.items(), int(len(self) * share)))
+        return kept
+
 
 class Encoder:
     """``ids(text)`` gives the ids as little-endian bytes, ``width`` bytes each.
 
-    ``keep`` bounds the pieces a worker remembers; beyond it the later half is forgotten.
+    ``keep`` bounds the pieces a worker remembers, ``known`` as they are and ``spaced`` without the space
+    before them; beyond it the last quarter of both is forgotten.
     """
 
-    def __init__(self, name: str, keep: int = 400_000):
+    def __init__(self, name: str, keep: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -69,7 +77,7 @@ class Encoder:
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind, self.letter = f"<u{self.width}", "H" if self.width == 2 else "I"
         self.end = np.array([END_ID], self.kind).tobytes()
-        self.keep, self.known = keep, Known(self._piece)
+        self.keep, self.known, self.spaced = keep, Known(self._piece), Known(self._behind_space)
         self.fold = next((f for f in FOLDS if all(self._word(p, f) == self._whole(p) for p in PROBES)), None)
 
     def _whole(self, text: str) -> bytes:
@@ -87,12 +95,30 @@ class Encoder:
     def _piece(self, piece: str) -> bytes:
         core = piece.rstrip(TAILS)
         if core[-1:].isalpha() and len(core) < len(piece):
-            return self.known[core] + self.known[piece[len(core):]]
+            ids = self.spaced[core[1:]] if core[0] == " " else self.known[core]
+            return ids + self.known[piece[len(core):]]
         word = piece[1:] if piece[0] == " " else piece
         if self.fold is not None and word.isalpha() and (word.isascii() or max(word) <= "\xff"):
             return self._word(piece, self.fold)
         return self._whole(piece)
 
+    def _behind_space(self, word: str) -> bytes:
+        return self._piece(" " + word)
+
+    def _pieces(self, text: str) -> list[bytes]:
+        """Ids of the pieces of a text; words between single spaces and line ends need no search."""
+        if _OTHER_SPACE.search(text) or any(x in text for x in ("  ", "\n\n", " \n", "\n ")) \
+                or text[0] in " \n" or text[-1] in " \n":
+            return list(map(self.known.__getitem__, PIECES.findall(text)))
+        out = []
+        for line in text.split("\n"):
+            words = line.split(" ")
+            out.append(self.known[words[0]])
+            out += map(self.spaced.__getitem__, words[1:])
+            out.append(self.known["\n"])
+        out.pop()
+        return out
+
     def ids(self, text: str | None, end: bool = True) -> bytes:
         """All ids of ``text`` (null: none), with the end id behind them."""
         tail = self.end if end else b""
@@ -100,10 +126,9 @@ class Encoder:
             return tail
         if _ODD.search(text) or self.special.search(text):
             return self._whole(text) + tail
-        joined = b"".join(map(self.known.__getitem__, PIECES.findall(text))) + tail
-        if len(self.known) > self.keep:  # what came first is what comes often
-            kept, self.known = self.known, Known(self._piece)
-            self.known.update(islice(kept.items(), self.keep // 2))
+        joined = b"".join(self._pieces(text)) + tail
+        if len(self.known) + len(self.spaced) > self.keep:
+            self.known, self.spaced = self.known.first(0.75), self.spaced.first(0.75)
         return joined
 
 
