@@ -21,6 +21,27 @@ def build_models(
     The fact is written once and the marts read it back.
     """
     session.tune(spark)
+    with session.shuffles_freed(spark):
+        return _build_models(spark, ingested, target, calendar)
+
+
+def _write_fact(
+    raw_items: DataFrame, orders: DataFrame, dim_products: DataFrame, calendar: str, target: str, stored: int,
+) -> DataFrame:
+    """The fact, some months of lines at a time."""
+    path = f"{target}/fact_order_items"
+    month = incremental.month()
+    mode = "overwrite"
+    with session.kept(orders) as staged:
+        for group in incremental.month_groups(incremental.parts(raw_items, month), stored):
+            items = staging.stg_order_items(incremental.within(raw_items, month, group, 31), calendar)
+            fact = warehouse.fact_order_items(items, staged, dim_products)
+            fact.write.mode(mode).option("compression", "zstd").parquet(path)
+            mode = "append"
+    return raw_items.sparkSession.read.parquet(path)
+
+
+def _build_models(spark: SparkSession, ingested: str, target: str, calendar: str) -> dict[str, DataFrame]:
     source, target = ingested.rstrip("/"), target.rstrip("/")
 
     def raw(name: str) -> DataFrame:
@@ -35,7 +56,8 @@ def build_models(
         return write_table(df, f"{target}/{name}")
 
     dim_products = keep("dim_products", warehouse.dim_products(products))
-    fact = keep("fact_order_items", warehouse.fact_order_items(items, orders, dim_products))
+    fact = _write_fact(raw("stg_order_items"), orders, dim_products, calendar, target, session.stored_bytes(
+        spark, f"{source}/stg_order_items"))
     lines = fact.drop(*warehouse.PRODUCT_TEXT)
     return {
         "dim_products": dim_products,
@@ -52,14 +74,15 @@ def run(
     spark: SparkSession, raw_root: str, ingested: str, target: str, start: str | None = None,
     end: str | None = None, json_lines: bool = False,
     source_checks: Sequence[check_suite.Check] | None = None,
-    model_checks: Sequence[check_suite.Check] | None = None,
+    model_checks: Sequence[check_suite.Check] | None = None, consume: bool = False,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Ingest the days, rebuild the models, check everything.
 
     Returns the model tables and the check report, which is written to
-    ``<target>/check_report`` too. A failed check does not undo the build.
+    ``<target>/check_report`` too. A failed check does not undo the build. ``consume`` removes
+    a day's order documents once they are loaded.
     """
-    ingest.ingest(spark, raw_root, ingested, start, end, json_lines)
+    ingest.ingest(spark, raw_root, ingested, start, end, json_lines, consume=consume)
     models = build_models(spark, ingested, target)
     sources = {
         s.name: spark.read.parquet(f"{ingested.rstrip('/')}/{s.name}")
