@@ -62,3 +62,19 @@ def test_groups_change_nothing(spark, star, rows, monkeypatch, query):
         monkeypatch.setattr(place, name, value)
     assert star_schema.order_slices(star) > 1
     assert rows(query(star)) == whole
+
+
+def test_a_repeated_load_keeps_one_group_of_documents(spark, star, monkeypatch):
+    monkeypatch.setattr(raw_zone, "LOAD_BYTES", 1)
+    there, ingested = [], lake.ingest.ingest
+
+    def ingest(spark, root, *args, **kwargs):
+        there.append(set(raw_zone.order_days(spark, root)))
+        return ingested(spark, root, *args, **kwargs)
+
+    monkeypatch.setattr(lake.ingest, "ingest", ingest)
+    found = {(r.table_name, str(r.day)): r.n for r in lake.backfill_counts(star).collect()}
+    # each day comes twice in a row and is gone before the next; products come last
+    assert there[::2] == there[1::2]
+    assert [len(days) for days in there[::2]] == [4, 3, 2, 1, 0]
+    assert found[("stg_products", "2001-08-01")] == 10 and ("stg_orders", "None") in found
