@@ -78,3 +78,27 @@ def test_a_repeated_load_keeps_one_group_of_documents(spark, star, monkeypatch):
     assert there[::2] == there[1::2]
     assert [len(days) for days in there[::2]] == [4, 3, 2, 1, 0]
     assert found[("stg_products", "2001-08-01")] == 10 and ("stg_orders", "None") in found
+
+
+def test_weekly_marts_are_built_some_weeks_at_a_time(spark, star, monkeypatch):
+    monkeypatch.setattr(incremental, "FACT_BYTES", 1)
+    built, mart = [], incremental.marts.mart_weekly_revenue
+
+    def weekly(fact):
+        built.append(sorted({str(r.order_date)[:7] for r in fact.select("order_date").collect()}))
+        return mart(fact)
+
+    monkeypatch.setattr(incremental.marts, "mart_weekly_revenue", weekly)
+    lake.daily_job_revenue(star)
+    whole = len(built)
+    assert whole >= 3 and all(len(months) <= 1 for months in built)
+    lake._load(star, lambda documents: documents, session.scratch_path(spark, "lake"))
+    assert len(built) == 2 * whole and all(len(months) <= 1 for months in built)
+
+
+def test_jobs_leave_no_scratch_tables(spark, star):
+    shared = session.shared_dir(spark).removeprefix("file://")
+    before = set(glob.glob(f"{shared}/kept-*"))
+    lake.daily_job_report(star).collect()
+    lake._load(star, lambda documents: documents, session.scratch_path(spark, "lake"))
+    assert set(glob.glob(f"{shared}/kept-*")) <= before

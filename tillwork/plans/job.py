@@ -32,15 +32,31 @@ def _write_fact(
     path = f"{target}/fact_order_items"
     month = incremental.month()
     mode = "overwrite"
-    with session.kept(orders) as staged:
-        for group in incremental.month_groups(incremental.parts(raw_items, month), stored):
+    with session.kept(warehouse.order_context(orders)) as context:
+        for group in incremental.part_groups(incremental.parts(raw_items, month), stored):
             items = staging.stg_order_items(incremental.within(raw_items, month, group, 31), calendar)
-            fact = warehouse.fact_order_items(items, staged, dim_products)
-            fact.write.mode(mode).option("compression", "zstd").parquet(path)
+            fact = warehouse.fact_order_items(items, context, dim_products)
+            fact.sortWithinPartitions(*warehouse.FACT_ORDER).write.mode(mode).option(
+                "compression", "zstd").parquet(path)
             mode = "append"
     return raw_items.sparkSession.read.parquet(path)
 
 
+def _write_weekly(fact: DataFrame, dim_products: DataFrame, target: str) -> dict[str, DataFrame]:
+    """The weekly marts, some weeks of the fact at a time."""
+    spark, week = fact.sparkSession, incremental.week()
+    weeks = incremental.parts(fact, week)
+    mode = "overwrite"
+    for group in incremental.part_groups(weeks, session.stored_bytes(spark, f"{target}/fact_order_items")):
+        lines = incremental.within(fact, week, group, 6)
+        for name in incremental.WEEKLY_MARTS:
+            with session.scratch_freed(spark):
+                mart = incremental.weekly_mart(name, lines, dim_products)
+                mart.write.mode(mode).option("compression", "zstd").parquet(f"{target}/{name}")
+        mode = "append"
+    return {name: spark.read.parquet(f"{target}/{name}") for name in incremental.WEEKLY_MARTS}
+
+
 def _build_models(spark: SparkSession, ingested: str, target: str, calendar: str) -> dict[str, DataFrame]:
     source, target = ingested.rstrip("/"), target.rstrip("/")
 
@@ -63,9 +79,7 @@ def _build_models(spark: SparkSession, ingested: str, target: str, calendar: str
         "dim_products": dim_products,
         "dim_customers": keep("dim_customers", warehouse.dim_customers(orders)),
         "fact_order_items": fact,
-        "mart_weekly_revenue": keep("mart_weekly_revenue", marts.mart_weekly_revenue(fact)),
-        "mart_top_products": keep(
-            "mart_top_products", marts.mart_top_products(lines, dim_products)),
+        **_write_weekly(fact, dim_products, target),
         "mart_customer_ltv": keep("mart_customer_ltv", marts.mart_customer_ltv(lines)),
     }
 
