@@ -102,3 +102,18 @@ def test_jobs_leave_no_scratch_tables(spark, star):
     lake.daily_job_report(star).collect()
     lake._load(star, lambda documents: documents, session.scratch_path(spark, "lake"))
     assert set(glob.glob(f"{shared}/kept-*")) <= before
+
+
+def test_days_that_no_load_takes_go_slice_by_slice(spark, star, monkeypatch):
+    stored = sum(session.stored_bytes(spark, f"{star.folder}/{t}.parquet") for t in ("orders", "lineitem"))
+    monkeypatch.setattr(star_schema, "SLICE_BYTES", stored // 4 + 1)
+    root = lake._land_orders(star, wanted=lake.RELOADED)
+    whole = lake._land_orders(star)
+
+    def per_day(path):
+        return {str(r.date): r["count"] for r in spark.read.option("basePath", f"{path}/orders").json(
+            f"{path}/orders").groupBy("date").count().collect()}
+
+    some, every = per_day(root), per_day(whole)
+    assert all(some[day] == every[day] for day in lake.RELOADED)
+    assert some["1996-04-01"] < every["1996-04-01"]
