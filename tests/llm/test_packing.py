@@ -31,6 +31,27 @@ def test_ids_equal_the_library(name, documents):
         assert np.frombuffer(encoder.ids(text), encoder.kind).tolist() == ids_of(name, text), text[:50]
 
 
+@pytest.mark.parametrize("name", [tokens.BYTE_BPE, tokens.WORD_BPE])
+def test_a_mark_of_lower_case_takes_the_punctuation(name):
+    encoder = tokens.Encoder(name)
+    for text in ("İ İ,", "İ, x", "a.\n\t\nb", "\t\nb", "a\n\tb", "a \xa0b", "\xa0", "a,\x1cb,"):
+        assert np.frombuffer(encoder.ids(text), encoder.kind).tolist() == ids_of(name, text), text
+
+
+@pytest.mark.parametrize("name", [tokens.BYTE_BPE, tokens.WORD_BPE])
+def test_what_a_worker_remembers(name):
+    """A word seen with punctuation only once is remembered without it only; unknown words are found together."""
+    encoder = tokens.Encoder(name, keep=1000)
+    calls = []
+    words = encoder._words
+    encoder._words = lambda found, *more: calls.append(len(found)) or words(found, *more)
+    text = "start " + " ".join(f"{'abcdefghij'[i // 10]}q{'abcdefghij'[i % 10]}," for i in range(100))
+    for seen in (101, 201, 201):
+        assert np.frombuffer(encoder.ids(text), encoder.kind).tolist() == ids_of(name, text)
+        assert len(encoder.known) + len(encoder.spaced) == seen
+    assert calls == [1, 100]
+
+
 def check(pieces, texts, window=2048):
     expected = {i: ids_of(tokens.BYTE_BPE, t) for i, t in texts}
     docs, sequences = defaultdict(list), defaultdict(list)

@@ -12,6 +12,7 @@ vocabulary answers some probes alike both ways.
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
 import struct
@@ -33,40 +34,44 @@ _OTHER_SPACE = re.compile(r"[^\S \n]")
 # how byte vocabularies write bytes: printable ones as they are, the others in their order from U+0100 on
 _PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _OTHERS = [b for b in range(256) if b not in _PRINTED]
-ALPHABET = {b: 256 + i for i, b in enumerate(_OTHERS)}
-SPACE = chr(ALPHABET[0x20])
-#: What a vocabulary does to a word before: nothing, or lower case without the space.
-FOLDS = (lambda piece: piece, lambda piece: piece.lstrip(" ").lower())
-PROBES = ("a", " a", "The", " The", "zqxjk", " Zqxjk", "HELLO", " internationalisation", "s", " t", " Été", "straße", "ñ")
-#: Punctuation that is cut off from the letters before it.
-TAILS = ".,;:!?$%&*|#<>()[]{}"
+ALPHABET = "".join(chr(b if b in _PRINTED else 256 + _OTHERS.index(b)) for b in range(256))
+LINE_END = ALPHABET[0x0A]
+#: What a vocabulary does to words before: nothing, or lower case without the spaces.
+FOLDS = (lambda pieces: pieces, lambda pieces: pieces.replace(" ", "").lower())
+PROBES = ("a", "The", "zqxjk", "Zqxjk", "HELLO", "internationalisation", "s", "t", "Été", "straße", "ñ")
+#: A word of Latin letters, and the punctuation behind it, which is cut off.
+LATIN = re.compile(r"([A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?$%&*|#<>()\[\]{}]*)")
 
 
 class Known(dict):
-    """Ids of pieces, found when they are asked for the first time."""
+    """Ids of words, with ``before`` in front of them.
 
-    def __init__(self, find) -> None:
-        self.find = find
+    A word asked for in vain is noted in ``missed`` with an empty buffer, which is given back for its ids, so
+    that the unknown words of a text are found together.
+    """
+
+    def __init__(self, before: str, given=()) -> None:
+        super().__init__(given)
+        self.before = before
+        self.missed: dict[str, bytearray] = {}
 
-    def __missing__(self, piece: str) -> bytes:
-        self[piece] = ids = self.find(piece)
-        return ids
+    def __missing__(self, word: str) -> bytearray:
+        return self.missed.setdefault(word, bytearray())
 
     def first(self, share: float) -> Known:
-        """The pieces met first, which are those that come often."""
-        kept = Known(self.find)
-        kept.update(islice(self.items(), int(len(self) * share)))
-        return kept
+        """The words met first, which are those that come often."""
+        return Known(self.before, islice(self.items(), int(len(self) * share)))
 
 
 class Encoder:
     """``ids(text)`` gives the ids as little-endian bytes, ``width`` bytes each.
 
-    ``keep`` bounds the pieces a worker remembers, ``known`` as they are and ``spaced`` without the space
-    before them; beyond it the last quarter of both is forgotten.
+    ``keep`` bounds what a worker remembers: words as they are (``known``) or without the space before them
+    (``spaced``), and ``marks``, which are white space and the punctuation behind words. Beyond it the last
+    quarter of the words is forgotten, and all marks.
     """
 
-    def __init__(self, name: str, keep: int = 600_000):
+    def __init__(self, name: str, keep: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -77,58 +82,95 @@ class Encoder:
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind, self.letter = f"<u{self.width}", "H" if self.width == 2 else "I"
         self.end = np.array([END_ID], self.kind).tobytes()
-        self.keep, self.known, self.spaced = keep, Known(self._piece), Known(self._behind_space)
-        self.fold = next((f for f in FOLDS if all(self._word(p, f) == self._whole(p) for p in PROBES)), None)
+        self.keep, self.known, self.spaced = keep, Known(""), Known(" ")
+        self.marks: dict[str, bytes] = {}
+        self.fold = next((f for f in FOLDS if all(
+            self._words(PROBES, before, f) == [self._whole(before + p) for p in PROBES] for before in ("", " "))), None)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def _word(self, piece: str, fold) -> bytes:
-        folded = fold(piece)
-        if folded.isascii():
-            written = folded.replace(" ", SPACE)
-        else:
-            written = folded.encode().decode("latin-1").translate(ALPHABET)
-        found = self.model.tokenize(written)
-        return struct.pack(f"<{len(found)}{self.letter}", *[t.id for t in found])
-
-    def _piece(self, piece: str) -> bytes:
-        core = piece.rstrip(TAILS)
-        if core[-1:].isalpha() and len(core) < len(piece):
-            ids = self.spaced[core[1:]] if core[0] == " " else self.known[core]
-            return ids + self.known[piece[len(core):]]
-        word = piece[1:] if piece[0] == " " else piece
-        if self.fold is not None and word.isalpha() and (word.isascii() or max(word) <= "\xff"):
-            return self._word(piece, self.fold)
-        return self._whole(piece)
-
-    def _behind_space(self, word: str) -> bytes:
-        return self._piece(" " + word)
-
-    def _pieces(self, text: str) -> list[bytes]:
-        """Ids of the pieces of a text; words between single spaces and line ends need no search."""
-        if _OTHER_SPACE.search(text) or any(x in text for x in ("  ", "\n\n", " \n", "\n ")) \
-                or text[0] in " \n" or text[-1] in " \n":
-            return list(map(self.known.__getitem__, PIECES.findall(text)))
-        out = []
+    def _words(self, words, before: str, fold) -> list[bytes]:
+        """Ids of words of Latin letters, by the model alone."""
+        folded = fold(before + ("\n" + before).join(words))
+        written = codecs.charmap_decode(folded.encode(), "strict", ALPHABET)[0].split(LINE_END)
+        tokenize, pack, letter = self.model.tokenize, struct.pack, self.letter
+        found = [[t.id for t in tokenize(word)] for word in written]
+        return [pack(f"<{len(ids)}{letter}", *ids) for ids in found]
+
+    def _mark(self, mark: str) -> bytes:
+        if mark not in self.marks:
+            self.marks[mark] = self._whole(mark)
+        return self.marks[mark]
+
+    def _learn(self, known: Known) -> None:
+        """Find the words missed, and know them from now on."""
+        missed, known.missed = known.missed, {}
+        new, tailed = {}, []
+        for word, buffer in missed.items():
+            cut = LATIN.fullmatch(word) if self.fold else None
+            if not cut:
+                known[word] = ids = self._whole(known.before + word)
+                buffer += ids
+            elif cut[2]:
+                tailed.append((word, buffer, *cut.groups()))
+            else:
+                new[word] = buffer
+        again = [t for t in tailed if t[2] in known]
+        for t in tailed:
+            if t[2] not in known:
+                new.setdefault(t[2], bytearray())
+        if new:
+            for (word, buffer), ids in zip(new.items(), self._words(new, known.before, self.fold)):
+                known[word] = ids
+                buffer += ids
+        for word, buffer, core, tail in tailed:
+            buffer += known[core] + self._mark(tail)
+        for word, buffer, _, _ in again:  # others may never come again
+            known[word] = bytes(buffer)
+
+    def _split(self, text: str) -> list[bytes | bytearray]:
+        """The pieces of a text with single spaces and line ends between its words."""
+        out, line_end = [], self._mark("\n")
         for line in text.split("\n"):
             words = line.split(" ")
             out.append(self.known[words[0]])
             out += map(self.spaced.__getitem__, words[1:])
-            out.append(self.known["\n"])
+            out.append(line_end)
         out.pop()
         return out
 
+    def _searched(self, text: str) -> list[bytes | bytearray]:
+        """The pieces of any text."""
+        return [self._mark(p) if p.isspace() else self.spaced[p[1:]] if p[0] == " " else self.known[p]
+                for p in PIECES.findall(text)]
+
+    def _unfit(self) -> bool:
+        """Whether words missed show that ``_split`` must not cut this text. Such words are never known."""
+        if "" in self.known.missed or "" in self.spaced.missed:  # white space at an end or a line's end
+            return True
+        joined = "\n".join([*self.known.missed, *self.spaced.missed])
+        return bool(_OTHER_SPACE.search(joined) or self.special.search(joined))
+
     def ids(self, text: str | None, end: bool = True) -> bytes:
         """All ids of ``text`` (null: none), with the end id behind them."""
         tail = self.end if end else b""
         if not text:
             return tail
-        if _ODD.search(text) or self.special.search(text):
-            return self._whole(text) + tail
-        joined = b"".join(self._pieces(text)) + tail
-        if len(self.known) + len(self.spaced) > self.keep:
-            self.known, self.spaced = self.known.first(0.75), self.spaced.first(0.75)
+        plain = "  " not in text and "\n\n" not in text
+        found = self._split(text) if plain else []
+        if not plain or (self.known.missed or self.spaced.missed) and self._unfit():
+            self.known.missed, self.spaced.missed = {}, {}
+            if _ODD.search(text) or self.special.search(text):
+                return self._whole(text) + tail
+            found = self._searched(text)
+        for known in (self.known, self.spaced):
+            if known.missed:
+                self._learn(known)
+        found.append(tail)
+        joined = b"".join(found)
+        if len(self.known) + len(self.spaced) + len(self.marks) > self.keep:
+            self.known, self.spaced, self.marks = self.known.first(0.75), self.spaced.first(0.75), {}
         return joined
 
 
