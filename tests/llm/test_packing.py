@@ -80,6 +80,10 @@ def test_odd_texts(make):
     check(packing.pack(make(ODD_TEXTS), window=64, packet=16), list(enumerate(ODD_TEXTS)), 64)
 
 
+def test_packets_longer_than_windows(make):
+    check(packing.pack(make(ODD_TEXTS), window=50, packet=333), list(enumerate(ODD_TEXTS)), 50)
+
+
 def test_empty(make):
     assert packing.pack(make([]).limit(0)).count() == 0
 

@@ -112,23 +112,25 @@ def pack(docs: DataFrame, targets: dict[str, float] | None = None, window: int =
 
     def cut(batches):
         kind = tokens.encoder(vocabulary).kind
-        width = np.dtype(kind).itemsize
         for batch in batches:
-            doc, source, start, length, total, at, ids = (c.to_pylist() for c in batch.columns)
-            out = [[] for _ in range(8)]
-            for i in range(len(doc)):
-                done = 0
-                while done < length[i]:
-                    place = at[i] + done
-                    n = min(length[i] - done, window - place % window)
-                    piece = np.frombuffer(ids[i], kind, n, done * width).astype("<u4").tobytes()
-                    for column, value in zip(out, (doc[i], source[i], start[i] + done, n, total[i],
-                                                   place // window, place % window, piece)):
-                        column.append(value)
-                    done += n
-            kinds = (pa.int64(), pa.string(), *[pa.int64()] * 5, pa.binary())
+            if not len(batch):
+                continue
+            doc, source, start, length, total, at, ids = batch.columns
+            start, length, at = (np.asarray(c, dtype=np.int64) for c in (start, length, at))
+            n_windows = (at + length - 1) // window - at // window + 1  # that a packet touches
+            row = np.repeat(np.arange(len(at)), n_windows)
+            sequence = at[row] // window + np.arange(len(row)) - (np.cumsum(n_windows) - n_windows)[row]
+            begin = np.maximum(at[row], sequence * window)
+            n = np.minimum((at + length)[row], (sequence + 1) * window) - begin
+            # pieces follow each other as their packets do, so their ids are those of the batch cut elsewhere
+            wide = np.frombuffer(b"".join(ids.to_pylist()), kind).astype("<u4")
+            ends = np.concatenate([[0], np.cumsum(4 * n)]).astype(np.int32)
+            pieces = pa.Array.from_buffers(
+                pa.binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(wide)])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(out, kinds)],
+                [doc.take(pa.array(row)), source.take(pa.array(row)), pa.array(start[row] + begin - at[row]),
+                 pa.array(n), total.take(pa.array(row)), pa.array(sequence),
+                 pa.array(begin - sequence * window), pieces],
                 names=["doc_id", "source", "start", "length", "doc_tokens", "sequence_id",
                        "offset", "ids"])
 
