@@ -1,9 +1,11 @@
+import random
 import zlib
 from collections import Counter, defaultdict
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -52,6 +54,33 @@ def test_what_a_worker_remembers(name):
     assert calls == [1, 100]
 
 
+@pytest.mark.parametrize("name", [tokens.BYTE_BPE, tokens.WORD_BPE])
+def test_columns_equal_the_library(name, documents):
+    parts = ["a", "The", "İ", "é", "Σ", "ΟΔΟΣ", "н", "中", "12", " ", " ", "  ", "\n", "\n\n", "\t", "\r\n", "\xa0",
+             "\u3000", "\x1c", "\x85", "\u0301", "\u0338", ".", ",", "<", "(", "'", "'s", "_", "<|endoftext|>", "\x00"]
+    chosen = random.Random(5)
+    odd = ["".join(chosen.choices(parts[:20] + parts[20:] * (i % 2), k=i % 30)) for i in range(600)]
+    texts = ODD_TEXTS + odd + [r.text for r in documents.limit(60).collect()]
+    encoder = tokens.Encoder(name, keep=500)
+    for some in (texts, texts[7:90], texts[:1], [None, ""], []):
+        ids, n = encoder.column(pa.array(["left out", *some], pa.string()).slice(1))
+        assert [part.tolist() for part in np.split(ids, np.cumsum(n))[:-1]] == [ids_of(name, t) for t in some]
+
+
+@pytest.mark.parametrize("name", [tokens.BYTE_BPE, tokens.WORD_BPE])
+def test_a_column_asks_for_its_words_once(name):
+    """However many texts have a word, with or without punctuation: it is cut off, and all words are found together."""
+    words = [f"{a}q{b}" for a in "abcdefghij" for b in "abcdefghij"]
+    texts = [" ".join(words[i:i + 50]) + end for i in range(50) for end in (".", " (x), y!", "\n" + words[i])]
+    encoder, calls = tokens.Encoder(name), []
+    found = encoder._words
+    encoder._words = lambda asked, *more: calls.append(len(asked)) or found(asked, *more)
+    ids, n = encoder.column(pa.array(texts))
+    assert [part.tolist() for part in np.split(ids, np.cumsum(n))[:-1]] == [ids_of(name, t) for t in texts]
+    assert calls == [99, 50]  # behind a space, "y" too; first in texts and lines
+    assert len(encoder.spaced) == 100 and set(encoder.known) == {*words[:50], ".", "),", "!"}  # "(x" was spaced too
+
+
 def check(pieces, texts, window=2048):
     expected = {i: ids_of(tokens.BYTE_BPE, t) for i, t in texts}
     docs, sequences = defaultdict(list), defaultdict(list)
@@ -80,6 +109,23 @@ def test_odd_texts(make):
     check(packing.pack(make(ODD_TEXTS), window=64, packet=16), list(enumerate(ODD_TEXTS)), 64)
 
 
+def test_packets_follow_those_of_earlier_batches(spark, make):
+    docs = make([f"{'word ' * (i % 7)}{i}" for i in range(40)], source=[None, "a", "b", "a", "c"]).coalesce(1)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "3")
+    try:
+        rows = packing.packets(docs, packet=4).collect()
+    finally:
+        spark.conf.set(name, before)
+    sent = Counter()
+    for row, r in enumerate(rows):
+        assert (r.row, r.before, len(r.ids)) == (row, sent[r.source], 2 * r.length)
+        sent[r.source] += r.length
+    assert sum(sent.values()) == sum(len(ids_of(tokens.BYTE_BPE, r.text)) for r in docs.collect())
+    assert [r.doc_id for r in rows] == sorted(r.doc_id for r in rows)
+
+
 def test_packets_longer_than_windows(make):
     check(packing.pack(make(ODD_TEXTS), window=50, packet=333), list(enumerate(ODD_TEXTS)), 50)
 

@@ -46,8 +46,8 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted if wanted.lower() not in taken else f"{wanted}_{uuid.uuid4().hex[:8]}"
 
 
-def slices(batches: Iterable[pa.RecordBatch], text: str = "text",
-           limit: int = SLICE_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+def cut_batches(batches: Iterable[pa.RecordBatch], text: str = "text",
+                limit: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the texts of a slice have about ``limit`` bytes at most."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
@@ -57,10 +57,17 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text",
         while at < len(sizes):
             done = ends[at - 1] if at else 0
             to = max(at + 1, int(np.searchsorted(ends, done + limit, side="right")))
-            yield batch.slice(at, to - at), column.slice(at, to - at).to_pylist()
+            yield batch.slice(at, to - at)
             at = to
 
 
+def slices(batches: Iterable[pa.RecordBatch], text: str = "text",
+           limit: int = SLICE_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """The same with the texts of each slice."""
+    for batch in cut_batches(batches, text, limit):
+        yield batch, batch.column(batch.schema.get_field_index(text)).to_pylist()
+
+
 def running_total(df: DataFrame, order: list[str], value: str, out: str) -> DataFrame:
     """Add ``out``: the sum of ``value`` over all rows that sort before this one.
 

@@ -23,11 +23,13 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tillwork import session
 from tillwork.llm import tokens
-from tillwork.llm.common import running_total, slices
+from tillwork.llm.common import cut_batches, running_total
 
 WINDOW = 2048
 #: Tokens of a packet: how far a source may run ahead of its share within a window.
 PACKET = 512
+#: Bytes of text that are tokenised at once, of which each distinct word is looked up once.
+SLICE_BYTES = 4_000_000
 
 PACKETS = ("doc_id long, source string, part int, row long, before long, start long, "
            "length long, doc_tokens long, ids binary")
@@ -40,27 +42,34 @@ def packets(docs: DataFrame, vocabulary: str = tokens.BYTE_BPE, packet: int = PA
     def cut(batches):
         encoder = tokens.encoder(vocabulary)
         part, row, sent = TaskContext.get().partitionId(), 0, {}
-        for batch, texts in slices(batches):
-            ids_of = batch.column(0).to_pylist()
-            sources = batch.column(2).to_pylist()
-            out = [[] for _ in range(9)]
-            for doc, text, source in zip(ids_of, texts, sources):
-                raw = encoder.ids(text)
-                total = len(raw) // encoder.width
-                for start in range(0, total, packet):
-                    piece = raw[start * encoder.width:(start + packet) * encoder.width]
-                    length = len(piece) // encoder.width
-                    before = sent.get(source, 0)
-                    sent[source] = before + length
-                    for column, value in zip(out, (doc, source, part, row, before, start, length,
-                                                   total, piece)):
-                        column.append(value)
-                    row += 1
-            kinds = (pa.int64(), pa.string(), pa.int32(), *[pa.int64()] * 5, pa.binary())
+        for batch in cut_batches(batches, limit=SLICE_BYTES):
+            doc_id, text, source = batch.columns
+            ids, total = encoder.column(text)
+            n_packets = -(-total // packet)
+            doc = np.repeat(np.arange(len(total)), n_packets)
+            start = packet * (np.arange(len(doc)) - (np.cumsum(n_packets) - n_packets)[doc])
+            length = np.minimum(total[doc] - start, packet)
+            # a source's packets follow each other, behind those of the slices before
+            queue = source.dictionary_encode(null_encoding="encode")
+            names, of = queue.dictionary.to_pylist(), np.asarray(queue.indices)[doc]
+            order = np.argsort(of, kind="stable")
+            firsts = np.searchsorted(of[order], np.arange(len(names)))
+            within = np.cumsum(length[order]) - length[order]
+            gone = np.array([sent.get(name, 0) for name in names], np.int64)
+            before = np.empty(len(doc), np.int64)
+            before[order] = within + (gone - within[firsts])[of[order]]
+            sent.update(zip(names, (gone + np.add.reduceat(length[order], firsts)).tolist()))
+            # packets follow each other as their ids do
+            ends = (encoder.width * np.concatenate([[0], np.cumsum(length)])).astype(np.int32)
+            cut_ids = pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(ends), pa.py_buffer(ids)])
+            of_doc = pa.array(doc)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(out, kinds)],
+                [doc_id.take(of_doc), source.take(of_doc), pa.array(np.full(len(doc), part, np.int32)),
+                 pa.array(np.arange(row, row + len(doc))), pa.array(before), pa.array(start),
+                 pa.array(length), pa.array(total[doc]), cut_ids],
                 names=["doc_id", "source", "part", "row", "before", "start", "length",
                        "doc_tokens", "ids"])
+            row += len(doc)
 
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"),
                          F.col("source").cast("string"))
