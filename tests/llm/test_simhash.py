@@ -86,3 +86,10 @@ def test_many_copies(make):
     for r in simhash.near_duplicates(make(["a b c d"] * 500 + ["e f g h"])).collect():
         by_class[r.component_id] += 1
     assert by_class == {0: 500, 500: 1}
+
+
+def test_exploded_points_are_not_broadcast(spark):
+    # 33 points a fingerprint, which Spark sizes as the fingerprint alone
+    pairs = simhash.near_pairs(spark.createDataFrame([(0, 0), (1, 1)], "node long, bits long"))
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan

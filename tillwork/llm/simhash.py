@@ -98,7 +98,8 @@ def near_pairs(distinct: DataFrame, max_bits: int = MAX_BITS, segments: int = SE
     right = points.select(F.col("node").alias("b"), F.col("bits").alias("b_bits"), "point")
     differing = F.bit_count(F.col("a_bits").bitwiseXOR(F.col("b_bits")))
     same_point = left.point == right.point
-    return (left.join(right, same_point & (F.col("a_bits") < F.col("b_bits")) & (differing <= max_bits))
+    # Spark takes the points for as small as the fingerprints, so it would broadcast many times what it allows
+    return (left.join(right.hint("merge"), same_point & (F.col("a_bits") < F.col("b_bits")) & (differing <= max_bits))
             .select("a", "b").distinct())
 
 
