@@ -2,14 +2,15 @@
 
 import glob
 import os
+import threading
 from datetime import datetime
 
 import pytest
 
 from tillwork import session
-from tillwork.plans import incremental
+from tillwork.plans import incremental, ingest
 from tillwork.registry import lake, streams
-from tillwork.sources import raw_zone, star_schema
+from tillwork.sources import raw_zone, star_schema, tables
 
 ORDERS = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp, "
           "o_orderpriority string")
@@ -117,3 +118,47 @@ def test_days_that_no_load_takes_go_slice_by_slice(spark, star, monkeypatch):
     some, every = per_day(root), per_day(whole)
     assert all(some[day] == every[day] for day in lake.RELOADED)
     assert some["1996-04-01"] < every["1996-04-01"]
+
+
+def test_tables_of_a_group_are_written_at_once(spark, star):
+    root = lake._land_orders(star)
+    met, begun = [], threading.Barrier(len(ingest.ORDER_TABLES), timeout=60)
+
+    def write(name, rows):
+        begun.wait()  # breaks where one is written after the other
+        met.append((name, rows.count()))
+
+    ingest.load_orders(spark, root, None, None, True, ingest.this_moment(), write, consume=False)
+    assert sorted(n for n, _ in met) == sorted(ingest.ORDER_TABLES) and min(n for t, n in met if t != "rejected") > 100
+
+
+def test_next_copy_is_written_while_one_is_used(spark):
+    second = threading.Event()
+
+    def made(number):
+        if number == 2:
+            second.set()
+        return spark.range(number)
+
+    copies = session.kept_ahead(spark, [lambda n=n: made(n) for n in (1, 2, 3)])
+    first = next(copies)
+    assert second.wait(60) and first.count() == 1
+    assert [c.count() for c in copies] == [2, 3]
+    assert not os.path.exists(first.inputFiles()[0].removeprefix("file://"))
+
+
+def test_two_loads_run_at_once(spark, star, monkeypatch):
+    monkeypatch.setattr(raw_zone, "LOAD_BYTES", 1)
+    begun, flatten = threading.Barrier(2, timeout=60), lake.ingest.flatten_orders
+
+    def both(documents):
+        begun.wait()  # breaks where one load ends before the next
+        return flatten(documents)
+
+    assert lake._flat(star, both).count() > 100
+
+
+def test_only_named_days_are_listed(spark, tmp_path):
+    spark.range(6).selectExpr("id", "id % 3 as day").write.partitionBy("day").parquet(f"{tmp_path}/t")
+    assert set(tables.day_files(spark, f"{tmp_path}/t", "day", ["1", "7"])) == {"1"}
+    assert set(tables.day_files(spark, f"{tmp_path}/t", "day")) == {"0", "1", "2"}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 from datetime import date, timedelta
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,12 +48,15 @@ def _write_weekly(fact: DataFrame, dim_products: DataFrame, target: str) -> dict
     spark, week = fact.sparkSession, incremental.week()
     weeks = incremental.parts(fact, week)
     mode = "overwrite"
+
+    def write(name: str, lines: DataFrame, mode: str) -> None:
+        with session.scratch_freed(spark):
+            mart = incremental.weekly_mart(name, lines, dim_products)
+            mart.write.mode(mode).option("compression", "zstd").parquet(f"{target}/{name}")
+
     for group in incremental.part_groups(weeks, session.stored_bytes(spark, f"{target}/fact_order_items")):
         lines = incremental.within(fact, week, group, 6)
-        for name in incremental.WEEKLY_MARTS:
-            with session.scratch_freed(spark):
-                mart = incremental.weekly_mart(name, lines, dim_products)
-                mart.write.mode(mode).option("compression", "zstd").parquet(f"{target}/{name}")
+        session.together(*[partial(write, name, lines, mode) for name in incremental.WEEKLY_MARTS])
         mode = "append"
     return {name: spark.read.parquet(f"{target}/{name}") for name in incremental.WEEKLY_MARTS}
 
@@ -72,15 +76,20 @@ def _build_models(spark: SparkSession, ingested: str, target: str, calendar: str
         return write_table(df, f"{target}/{name}")
 
     dim_products = keep("dim_products", warehouse.dim_products(products))
-    fact = _write_fact(raw("stg_order_items"), orders, dim_products, calendar, target, session.stored_bytes(
-        spark, f"{source}/stg_order_items"))
+    dim_customers, fact = session.together(
+        lambda: keep("dim_customers", warehouse.dim_customers(orders)),
+        lambda: _write_fact(raw("stg_order_items"), orders, dim_products, calendar, target, session.stored_bytes(
+            spark, f"{source}/stg_order_items")))
     lines = fact.drop(*warehouse.PRODUCT_TEXT)
+    weekly, ltv = session.together(
+        lambda: _write_weekly(fact, dim_products, target),
+        lambda: keep("mart_customer_ltv", marts.mart_customer_ltv(lines)))
     return {
         "dim_products": dim_products,
-        "dim_customers": keep("dim_customers", warehouse.dim_customers(orders)),
+        "dim_customers": dim_customers,
         "fact_order_items": fact,
-        **_write_weekly(fact, dim_products, target),
-        "mart_customer_ltv": keep("mart_customer_ltv", marts.mart_customer_ltv(lines)),
+        **weekly,
+        "mart_customer_ltv": ltv,
     }
 
 
