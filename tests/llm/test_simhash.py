@@ -90,6 +90,6 @@ def test_many_copies(make):
 
 def test_exploded_points_are_not_broadcast(spark):
     # 33 points a fingerprint, which Spark sizes as the fingerprint alone
-    pairs = simhash.near_pairs(spark.createDataFrame([(0, 0), (1, 1)], "node long, bits long"))
+    pairs = simhash.near_pairs(spark.range(2).selectExpr("id as node", "id as bits"))
     plan = pairs._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" not in plan and "SortMergeJoin" in plan
